@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from placemill import vocab
 from placemill.functions.classify import chain_of
+from placemill.sources.inline import TEXT, inline_relation
 
 
 def food_places(places: DataFrame, country: str = vocab.HOME_COUNTRY,
@@ -19,7 +20,7 @@ def food_places(places: DataFrame, country: str = vocab.HOME_COUNTRY,
 
 def chain_provider_table(spark, mapping=vocab.CHAIN_PROVIDER) -> DataFrame:
     """The inline chain-to-provider relation."""
-    return spark.createDataFrame(list(mapping), "chain string, provider string")
+    return inline_relation(spark, {"chain": TEXT, "provider": TEXT}, mapping)
 
 
 def keep_best_provider(places: DataFrame, best: DataFrame | None = None) -> DataFrame:

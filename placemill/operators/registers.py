@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from placemill import vocab
 from placemill.functions.dates import normalize_date
 from placemill.functions.text import is_filled, join_filled, match_key, strip
+from placemill.sources.inline import NUMBER, TEXT, inline_relation
 from placemill.sources.registry import SourceSpec
 
 _DERIVED = ("geocoding_level", "sources", "licenses")
@@ -53,7 +54,7 @@ def normalize_frame(raw: DataFrame, spec: SourceSpec, rank: int = 0) -> DataFram
     if parts:
         values["address"] = join_filled([text(p) for p in parts])
     values.update({k: F.lit(v) for k, v in spec.const.items()})
-    return _finish(values, raw, F.lit(spec.id), F.lit(rank), F.lit(spec.source_name), F.lit(spec.license))
+    return _finish(values, raw, F.lit(spec.id), F.lit(rank).cast("bigint"), F.lit(spec.source_name), F.lit(spec.license))
 
 
 def normalize_records(records: DataFrame, registry: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def area_match_rate(merged: DataFrame, areas: Sequence[tuple[str, Sequence[str],
     own = F.transform(F.split("srcid", ","), lambda s: F.coalesce(F.try_element_at(lookup, s), none))
     counts = merged.select(F.explode(F.array_distinct(F.flatten(own))).alias("area")).groupBy("area").agg(
         F.count(F.lit(1)).alias("n"))
-    listed = spark.createDataFrame([(label, ref) for label, _, ref in areas], "area string, reference bigint")
+    listed = inline_relation(spark, {"area": TEXT, "reference": NUMBER}, [(label, ref) for label, _, ref in areas])
     n = F.coalesce(F.col("n"), F.lit(0))
     return listed.join(counts, "area", "left").select(
         "area", "reference", n.alias("n"),

@@ -11,16 +11,13 @@ from placemill import vocab
 from placemill.functions.classify import category_bucket, label_of, shop_bucket
 from placemill.functions.geo import Degrees, Metres, parse_degrees
 from placemill.operators.proximity import without_neighbour
+from placemill.sources.inline import NUMBER, TEXT, inline_relation
 
 
 def report_spine(spark, buckets=vocab.BUCKETS) -> DataFrame:
     """The fixed list of buckets in display order: (ord, bucket, label)."""
-    return spark.range(1).select(
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("ord"), F.lit(b).alias("bucket"), F.lit(label).alias("label"))
-            for i, (b, label) in enumerate(buckets, 1)
-        ]))
-    )
+    return inline_relation(
+        spark, {"ord": NUMBER, "bucket": TEXT, "label": TEXT}, [(i, *pair) for i, pair in enumerate(buckets, 1)])
 
 
 def _count_by(rows: DataFrame, key, name: str) -> DataFrame:
@@ -53,7 +50,7 @@ def compare_with_total(comparison: DataFrame) -> DataFrame:
 
 def coverage_ratio(comparison: DataFrame, official: Sequence[tuple[str, int]] = vocab.OFFICIAL_COUNTS) -> DataFrame:
     """Counts of both sources as a percentage of the official number of stores."""
-    reference = comparison.sparkSession.createDataFrame(list(official), "bucket string, official bigint")
+    reference = inline_relation(comparison.sparkSession, {"bucket": TEXT, "official": NUMBER}, official)
     pct = lambda c: F.round(F.col(c) / F.col("official") * 100, 4)
     return comparison.join(reference, "bucket").select(
         "bucket", "official", "primary_n", "secondary_n",

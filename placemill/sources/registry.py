@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placemill.sources.inline import NUMBER, TEXT, TEXT_LIST, TEXT_MAP, inline_relation
+
 CSV_FORMATS = ("csv", "fas")
 FORMATS = (*CSV_FORMATS, "excel")
 
@@ -37,22 +39,21 @@ class SourceSpec:
             raise ValueError(f"unknown format: {self.format}")
 
 
-REGISTRY_SCHEMA = """
-    source_id string, source_rank int, pref string, muni string, route string, source_name string,
-    license string, format string, path string, url string, encoding string, header_row int, sheet string,
-    const map<string, string>, colmap map<string, string>, address_parts array<string>
-"""
+REGISTRY_COLUMNS = {
+    "source_id": TEXT, "source_rank": NUMBER, "pref": TEXT, "muni": TEXT, "route": TEXT, "source_name": TEXT,
+    "license": TEXT, "format": TEXT, "path": TEXT, "url": TEXT, "encoding": TEXT, "header_row": NUMBER, "sheet": TEXT,
+    "const": TEXT_MAP, "colmap": TEXT_MAP, "address_parts": TEXT_LIST,
+}
 
 
 def registry_frame(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
     """The registry as a relation; ``source_rank`` keeps the order sources are listed in."""
-    rows = [
+    return inline_relation(spark, REGISTRY_COLUMNS, [
         (s.id, rank, s.pref, s.muni, s.route, s.source_name, s.license, s.format, s.path, s.url, s.encoding,
          s.header_row, f"#{s.sheet}" if isinstance(s.sheet, int) else s.sheet,
-         dict(s.const), dict(s.colmap), list(s.address_parts))
+         list(s.const.items()), list(s.colmap.items()), list(s.address_parts))
         for rank, s in enumerate(specs)
-    ]
-    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    ])
 
 
 def path_key(path):

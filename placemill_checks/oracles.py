@@ -89,7 +89,8 @@ def _area_edges() -> str:
     sides = []
     for s in ("half", "hole"):
         corners = [(f"mx - {s}", "my"), ("mx", f"my - {s}"), (f"mx + {s}", "my"), ("mx", f"my + {s}"), (f"mx - {s}", "my")]
-        sides += [f"SELECT pref, {a[0]} AS ax, {a[1]} AS ay, {b[0]} AS bx, {b[1]} AS by_ FROM area"
+        sides += [f"SELECT pref, {a[0]} AS ax, {a[1]} AS ay, {b[0]} AS bx, {b[1]} AS by_,"
+                  " mx - half AS west, mx + half AS east, my - half AS south, my + half AS north FROM area"
                   for a, b in zip(corners, corners[1:])]
     return " UNION ALL ".join(sides)
 
@@ -277,7 +278,8 @@ ORACLES: dict[str, str] = {
     "spatial_anti_join_grocery": _with("place osm osm_fresh", "SELECT * FROM gc_uniq", _fresh_and_grocery("place")),
     "spatial_anti_join_fresh": _with("place osm osm_fresh", "SELECT * FROM fresh_uniq", _fresh_and_grocery("place")),
     "assign_region_of_place": _with("place region_edges", _inside("place", "region_edges", "p.id")),
-    "assign_shop_area": _with("place area area_edges", _inside("place", "area_edges", "p.id")),
+    "assign_shop_area": _with("place area area_edges", _inside(
+        "place", "area_edges", "p.id", "AND p.lon BETWEEN e.west AND e.east AND p.lat BETWEEN e.south AND e.north")),
     "build_master": _with(f"{_LAYER} osm osm_fresh region_edges", """
       SELECT row_number() OVER (ORDER BY cat, src, prefecture, lng, lat, name NULLS FIRST, brand NULLS FIRST) AS store_id,
         cat, name, brand, src, prefecture, lat, lng FROM located""", _MASTER),
