@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Callable
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.session import scratch_path
+from placemill.sinks.tables import write_parquet
 from placemill.sources.registry import SourceSpec
 from placemill_checks import views
 
@@ -19,7 +22,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _view(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _derived(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A view as the parquet table a pipeline step would have left: derived from the test tables and written
+    to the shared folder once per application, so that queries start from a scan."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = scratch_path(spark, name)
+        write_parquet(build(), path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Write all views."""
+    for view in (places, raw_places, community, areas):
+        view(spark, sf_dir)
+    for which in ("reg_a", "reg_b"):
+        register(spark, sf_dir, which)
+
+
+def _sql(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
     return spark.sql(sql, **{name: table(spark, sf_dir, name)})
 
 
@@ -33,35 +58,42 @@ def _datasets():
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat places with tag and dataset arrays."""
-    flat = _view(spark, sf_dir, views.PLACE, "orders")
-    return flat.select(
-        "id", "name", "category", _tags("alt_csv").alias("category_alt"), "confidence", "brand_wikidata", "brand_name",
-        "operating_status", "country", "region", "locality", "address", _datasets().alias("datasets"), "lon", "lat",
-    )
+    def build():
+        return _sql(spark, sf_dir, views.PLACE, "orders").select(
+            "id", "name", "category", _tags("alt_csv").alias("category_alt"), "confidence", "brand_wikidata",
+            "brand_name", "operating_status", "country", "region", "locality", "address",
+            _datasets().alias("datasets"), "lon", "lat",
+        )
+
+    return _derived(spark, sf_dir, "places", build)
 
 
 def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested places as the extraction reads them."""
-    place = _view(spark, sf_dir, views.PLACE, "orders")
-    flat = spark.sql(views.RAW_PLACE.replace("FROM place", "FROM {place}"), place=place)
-    here = F.struct("country", "region", "locality", F.col("address").alias("freeform"))
-    other = F.struct(F.lit("XX").alias("country"), F.lit("r").alias("region"), F.lit("l").alias("locality"),
-                     F.lit("f").alias("freeform"))
-    return flat.select(
-        "id", F.struct(F.col("name").alias("primary")).alias("names"),
-        F.struct(F.col("category").alias("primary"), _tags("alt_csv").alias("alternate")).alias("categories"),
-        "confidence",
-        F.struct(F.col("brand_wikidata").alias("wikidata"),
-                 F.struct(F.col("brand_name").alias("primary")).alias("names")).alias("brand"),
-        "operating_status",
-        F.slice(F.array(here, other), F.lit(1), F.col("n_addresses")).alias("addresses"),
-        F.transform(_datasets(), lambda d: F.struct(d.alias("dataset"))).alias("sources"),
-        F.struct(F.col("lon").alias("xmin"), F.col("lat").alias("ymin")).alias("bbox"),
-    )
+    def build():
+        place = _sql(spark, sf_dir, views.PLACE, "orders")
+        flat = spark.sql(views.RAW_PLACE.replace("FROM place", "FROM {place}"), place=place)
+        here = F.struct("country", "region", "locality", F.col("address").alias("freeform"))
+        other = F.struct(F.lit("XX").alias("country"), F.lit("r").alias("region"), F.lit("l").alias("locality"),
+                         F.lit("f").alias("freeform"))
+        return flat.select(
+            "id", F.struct(F.col("name").alias("primary")).alias("names"),
+            F.struct(F.col("category").alias("primary"), _tags("alt_csv").alias("alternate")).alias("categories"),
+            "confidence",
+            F.struct(F.col("brand_wikidata").alias("wikidata"),
+                     F.struct(F.col("brand_name").alias("primary")).alias("names")).alias("brand"),
+            "operating_status",
+            F.slice(F.array(here, other), F.lit(1), F.col("n_addresses")).alias("addresses"),
+            F.transform(_datasets(), lambda d: F.struct(d.alias("dataset"))).alias("sources"),
+            F.struct(F.col("lon").alias("xmin"), F.col("lat").alias("ymin")).alias("bbox"),
+        )
+
+    return _derived(spark, sf_dir, "raw_places", build)
 
 
 def community(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, views.COMMUNITY, "orders").withColumnsRenamed({"lon_s": "@lon", "lat_s": "@lat"})
+    build = lambda: _sql(spark, sf_dir, views.COMMUNITY, "orders")
+    return _derived(spark, sf_dir, "community", build).withColumnsRenamed({"lon_s": "@lon", "lat_s": "@lat"})
 
 
 def region_edges(spark: SparkSession) -> DataFrame:
@@ -69,7 +101,7 @@ def region_edges(spark: SparkSession) -> DataFrame:
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, views.AREA, "customer")
+    return _derived(spark, sf_dir, "areas", lambda: _sql(spark, sf_dir, views.AREA, "customer"))
 
 
 def area_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +133,7 @@ def register_specs() -> list[SourceSpec]:
 
 def register(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     sql = {"reg_a": views.REGISTER_A, "reg_b": views.REGISTER_B}[which]
-    return _view(spark, sf_dir, sql, "customer")
+    return _derived(spark, sf_dir, which, lambda: _sql(spark, sf_dir, sql, "customer"))
 
 
 # ---- register files built from the register views: one file per 500 shops -----------------------
