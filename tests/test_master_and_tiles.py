@@ -19,7 +19,7 @@ PLACE = "name string, category string, category_alt array<string>, brand_name st
 @pytest.fixture(scope="module")
 def inputs(spark):
     places = spark.createDataFrame([
-        ("S", "supermarket", None, "B", 1.0, 1.0), ("G near", "grocery_store", None, None, 1.0011, 1.0),
+        ("S", "supermarket", None, "B", 1.0, 1.0), ("G near", "grocery_store", None, None, 1.00109, 1.0),
         ("G far", "grocery_store", None, None, 1.00111, 1.0), ("G cafe", "grocery_store", None, None, 2.0, 1.0),
         (None, "grocery_store", None, None, 2.0, 1.0), ("G bar", "grocery_store", ["bar"], None, 2.0, 1.0),
         ("C", "convenience_store", None, None, 2.0, 2.0), ("D", "drugstore", None, None, 2.5, 2.0),
