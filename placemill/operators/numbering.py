@@ -13,21 +13,24 @@ from placemill.session import stable
 def number_rows(df: DataFrame, id_col: str, order_by: Sequence[str] = ()) -> DataFrame:
     """Prepend ids 1..n. With ``order_by`` they follow that order (ascending, NULLs first), else any order.
 
-    Rows are range-partitioned, sorted inside partitions and frozen in the shared folder; ids are the
-    position within the partition plus the sizes of the partitions before it. A row tag ends the sort key, so
-    equal rows, however many, spread over partitions instead of meeting in one.
+    Rows are range-partitioned, sorted inside partitions and written to the shared folder with partition number
+    and position; ids are the position plus the sizes of the partitions before it. The sizes are counted from
+    that one small column.
+
+    The sort key ends with a row tag, so equal rows, however many, spread over partitions instead of meeting
+    in one. Tags are given to rows of a written table: a repeated task gives the same tags again.
     """
     columns = df.columns
     if order_by:
         keys = [*order_by, "_tag"]
-        df = df.withColumn("_tag", F.monotonically_increasing_id())
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tag")
-    placed = stable(df.withColumn("_part", F.spark_partition_id())
-                    .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+        tagged = stable(df, "unnumbered").withColumn("_tag", F.monotonically_increasing_id())
+        df = tagged.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tag")
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stable(df.withColumns({"_part": F.spark_partition_id(), "_pos": position}), "placed")
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    # one row per partition of ``placed``: the broadcast is bounded by its partition count
+    # one row per partition written: the broadcast is bounded by the number of partitions
     return placed.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_pos") + 1).alias(id_col), *columns
     )

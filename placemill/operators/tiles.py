@@ -31,22 +31,25 @@ def tile_pyramid(points: DataFrame, max_zoom: int = MAX_ZOOM, cat: str = "cat")
     return _ancestors(deepest, max_zoom).groupBy("z", "x", "y", cat).agg(F.sum("n").alias("n"))
 
 
-def _top(rows: DataFrame, keys: list[str], per_tile: int, order: list[Column]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("tile_rank", F.row_number().over(window)).where(F.col("tile_rank") <= per_tile)
+def _top(rows: DataFrame, keys: list[str], per_tile: int, order: list[Column], split: int = 64) -> DataFrame:
+    """The best rows of each key. For small limits every task drops what is not among the best of its own rows
+    before the shuffle, which Spark plans by itself; beyond its threshold slices of each key are ranked first."""
+    def ranked(df, by):
+        window = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumn("tile_rank", F.row_number().over(window)).where(F.col("tile_rank") <= per_tile)
 
+    if per_tile > int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        sliced = rows.withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(split)))
+        rows = ranked(sliced, [*keys, "_slice"]).drop("_slice")
+    return ranked(rows, keys)
 
-def thin_tiles(points: DataFrame, per_tile: int, order: list[Column], max_zoom: int = MAX_ZOOM,
-               split: int = 64) -> DataFrame:
+
+def thin_tiles(points: DataFrame, per_tile: int, order: list[Column], max_zoom: int = MAX_ZOOM) -> DataFrame:
     """At most ``per_tile`` features per tile of each zoom, best by ``order`` (which must be total).
 
     A feature that is not among the best of its deepest tile cannot be among those of a larger one, so
-    the deepest level is thinned first. Tiles are ranked in slices and then as a whole: a tile that holds much
-    of the data, as all do at zoom 0, never meets in one task.
+    the deepest level is thinned first and only what is left is copied to the other zooms.
     """
-    slice_ = F.pmod(F.monotonically_increasing_id(), F.lit(split))
-    deepest = tile_index(points, max_zoom).withColumn("_slice", slice_)
     tile = ["z", "x", "y"]
-    kept = _top(_top(deepest, [*tile, "_slice"], per_tile, order), tile, per_tile, order)
-    raised = _ancestors(kept.drop("_slice"), max_zoom).withColumn("_slice", slice_)
-    return _top(_top(raised, [*tile, "_slice"], per_tile, order), tile, per_tile, order).drop("_slice")
+    kept = _top(tile_index(points, max_zoom), tile, per_tile, order)
+    return _top(_ancestors(kept, max_zoom), tile, per_tile, order)

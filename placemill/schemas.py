@@ -13,11 +13,4 @@ PLACES_RAW = """
     sources array<struct<dataset: string>>,
     bbox struct<xmin: double, ymin: double>
 """
-PLACES_FLAT = """
-    id string, name string, category string, category_alt array<string>, confidence double,
-    brand_wikidata string, brand_name string, operating_status string, country string, region string,
-    locality string, address string, datasets array<string>, lon double, lat double
-"""
-COMMUNITY_TSV = "name string, shop string, amenity string, `@lon` string, `@lat` string"
 REGISTER_RECORDS = "source_id string, row_pos bigint, record map<string, string>"
-EDGES = "pref string, ax double, ay double, bx double, `by` double"

@@ -43,12 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Freeze a frame in the shared folder, so later passes read the very same rows and partitions."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/placemill-{name}-{uuid.uuid4().hex}"
+
+
+def stable(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as a table in the shared folder and read it back.
+
+    Later passes see the very same rows whatever happens to executors, and read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -56,10 +56,14 @@ def _datasets():
     return F.array(F.lit("Overture"), "provider")
 
 
+def _place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derived(spark, sf_dir, "place", lambda: _sql(spark, sf_dir, views.PLACE, "orders"))
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat places with tag and dataset arrays."""
     def build():
-        return _sql(spark, sf_dir, views.PLACE, "orders").select(
+        return _place(spark, sf_dir).select(
             "id", "name", "category", _tags("alt_csv").alias("category_alt"), "confidence", "brand_wikidata",
             "brand_name", "operating_status", "country", "region", "locality", "address",
             _datasets().alias("datasets"), "lon", "lat",
@@ -71,8 +75,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested places as the extraction reads them."""
     def build():
-        place = _sql(spark, sf_dir, views.PLACE, "orders")
-        flat = spark.sql(views.RAW_PLACE.replace("FROM place", "FROM {place}"), place=place)
+        flat = spark.sql(views.RAW_PLACE.replace("FROM place", "FROM {place}"), place=_place(spark, sf_dir))
         here = F.struct("country", "region", "locality", F.col("address").alias("freeform"))
         other = F.struct(F.lit("XX").alias("country"), F.lit("r").alias("region"), F.lit("l").alias("locality"),
                          F.lit("f").alias("freeform"))

@@ -161,9 +161,10 @@ def test_cards(spark):
 
 
 def test_tsv_types(spark, tmp_path):
-    (tmp_path / "t.tsv").write_text("name\tshop\tamenity\t@lon\t@lat\nA\tbutcher\t\t135.5\t35\n")
+    (tmp_path / "t.tsv").write_text("shop\tname\tamenity\t@lat\t@lon\nbutcher\tA\t\t35\t135.5\nbutcher\tB\t\t35\tn/a\n")
     assert dict(scan_community_tsv(spark, str(tmp_path / "t.tsv")).dtypes)["@lon"] == "string"
-    assert dict(scan_community_tsv(spark, str(tmp_path / "t.tsv"), all_text=False).dtypes)["@lon"] == "double"
+    typed = scan_community_tsv(spark, str(tmp_path / "t.tsv"), all_text=False)
+    assert [(r["name"], r["@lon"], r["@lat"]) for r in typed.collect()] == [("A", 135.5, 35.0), ("B", None, 35.0)]
 
 
 def test_tiles_match_known_indexes(spark):
@@ -171,7 +172,9 @@ def test_tiles_match_known_indexes(spark):
     assert [(r.x, r.y) for r in tiles.tile_index(rows, 12).collect()] == [(3638, 1612), (0, 0), (4095, 4095), (2048, 2048)]
 
 
-def test_thinning_equals_ranking_every_tile_as_a_whole(spark):
+@pytest.mark.parametrize("threshold", ["1000", "2"])
+def test_thinning_equals_ranking_every_tile_as_a_whole(spark, threshold):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
     rows = spark.range(3000).select(
         F.col("id"), (F.lit(135.0) + (F.col("id") % 40) * 0.05).alias("lon"), (F.lit(35.0) + (F.col("id") % 30) * 0.05).alias("lat"),
         (F.col("id") * 7919 % 101 / 101).alias("confidence"))
@@ -183,4 +186,5 @@ def test_thinning_equals_ranking_every_tile_as_a_whole(spark):
     for z in range(9):
         ranked = tiles.tile_index(rows, z).withColumn("tile_rank", F.row_number().over(Window.partitionBy("x", "y").orderBy(*order)))
         want |= {(r.z, r.x, r.y, r.id, r.tile_rank) for r in ranked.where("tile_rank <= 5").collect()}
+    spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert got == want

@@ -103,3 +103,26 @@ def test_plan_has_no_nested_loop(spark, no_broadcast):
     for join in (having_neighbour, without_neighbour):
         plan = plan_of(join(rows, rows, Metres(50.0), ["k"]))
         assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_crowded_probe_cell_is_split(spark, no_broadcast):
+    """A third of the probing rows in one cell: adaptive execution divides that partition."""
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    i = F.col("id")
+    rows = spark.range(0, 60000, 1, 6).select("id", F.when(i % 3 == 0, 135.0).otherwise(130.0 + i * 0.0001).alias("lon"),
+                                              F.when(i % 3 == 0, 35.0).otherwise(30.0 + i * 0.0001).alias("lat"))
+    partners = spark.range(0, 3000, 1, 2).select((130.0 + i * 0.002).alias("lon"), (30.0 + i * 0.002).alias("lat"))
+    try:
+        for join in (having_neighbour, without_neighbour):
+            out = join(rows, partners, Metres(50.0))
+            out.write.format("noop").mode("overwrite").save()
+            out.collect()
+            assert "SortMergeJoin(skew=true)" in plan_of(out)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
