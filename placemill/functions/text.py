@@ -12,16 +12,16 @@ SPACES = (
     (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
     (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
 )
-SPACE_CLASS = "[" + "".join(rf"\x{{{first:x}}}-\x{{{last:x}}}" for first, last in SPACES) + "]"
+SPACE_CHARS = "".join(chr(c) for first, last in SPACES for c in range(first, last + 1))
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{SPACE_CLASS}+|{SPACE_CLASS}+\z", "")
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def squeeze_out(c: Column) -> Column:
     """Remove every whitespace character."""
-    return F.regexp_replace(c, rf"{SPACE_CLASS}+", "")
+    return F.translate(c, SPACE_CHARS, "")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -30,7 +30,7 @@ def blank_to_null(c: Column) -> Column:
 
 def is_filled(c: Column) -> Column:
     """True when something other than whitespace is present; never NULL."""
-    return F.coalesce(c.rlike(rf"[^{SPACE_CLASS[1:]}"), F.lit(False))
+    return F.coalesce(strip(c) != "", F.lit(False))
 
 
 def join_filled(cols: Sequence[Column], sep: str = " ") -> Column:

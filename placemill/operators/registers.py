@@ -12,7 +12,7 @@ from placemill import vocab
 from placemill.functions.dates import normalize_date
 from placemill.functions.text import is_filled, join_filled, match_key, strip
 from placemill.sources.inline import NUMBER, TEXT, inline_relation
-from placemill.sources.registry import SourceSpec
+from placemill.sources.registry import SourceSpec, registry_frame
 
 _DERIVED = ("geocoding_level", "sources", "licenses")
 _MAPPED = [c for c in vocab.REGISTER_COLUMNS if c not in _DERIVED]
@@ -57,10 +57,16 @@ def normalize_frame(raw: DataFrame, spec: SourceSpec, rank: int = 0) -> DataFram
     return _finish(values, raw, F.lit(spec.id), F.lit(rank).cast("bigint"), F.lit(spec.source_name), F.lit(spec.license))
 
 
-def normalize_records(records: DataFrame, registry: DataFrame) -> DataFrame:
-    """Records of any number of registers, each by its own registry row."""
-    config = registry.select("source_id", "source_rank", "source_name", "license", "const", "colmap", "address_parts")
-    rows = records.join(config, "source_id")
+def _settings(spark, specs: Sequence[SourceSpec]) -> DataFrame:
+    """The registry, ready to be sent to every task: it is a list held by the caller, one entry per register,
+    and joining by shuffle would gather a large register's records in one task."""
+    return F.broadcast(registry_frame(spark, specs))
+
+
+def normalize_records(records: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
+    """Records of any number of registers, each by its own registry entry."""
+    config = _settings(records.sparkSession, specs)
+    rows = records.join(config.drop("pref", "muni", "route", "format", "path", "url", "encoding"), "source_id")
 
     def mapped(target: str) -> Column:
         column = F.try_element_at("colmap", F.lit(target))
@@ -76,11 +82,11 @@ def normalize_records(records: DataFrame, registry: DataFrame) -> DataFrame:
     return _finish(values, rows, F.col("source_id"), F.col("source_rank"), F.col("source_name"), F.col("license"))
 
 
-def missing_columns(records: DataFrame, registry: DataFrame) -> DataFrame:
+def missing_columns(records: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
     """Mapped columns a register's files lack: (source_id, target, column)."""
     titles = records.groupBy("source_id").agg(F.first(F.map_keys("record")).alias("titles"))
-    wanted = registry.select("source_id", F.explode("colmap").alias("target", "column"))
-    return wanted.join(titles, "source_id").where(~F.array_contains("titles", F.col("column"))).drop("titles")
+    wanted = _settings(records.sparkSession, specs).select("source_id", F.explode("colmap").alias("target", "column"))
+    return titles.join(wanted, "source_id").where(~F.array_contains("titles", F.col("column"))).drop("titles")
 
 
 def merge_register(rows: DataFrame) -> DataFrame:
@@ -119,8 +125,9 @@ def merge_summary(merged: DataFrame) -> DataFrame:
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def source_counts(rows: DataFrame, registry: DataFrame) -> DataFrame:
+def source_counts(rows: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
     """Coverage report: one line per registered source, also those without rows."""
+    registry = registry_frame(rows.sparkSession, specs)
     counts = rows.groupBy("srcid").agg(F.count(F.lit(1)).alias("records"))
     records = F.coalesce(F.col("records"), F.lit(0))
     return registry.join(counts, registry["source_id"] == counts["srcid"], "left").select(

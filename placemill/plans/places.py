@@ -15,6 +15,10 @@ def deduped_layer(raw: DataFrame) -> DataFrame:
 
 
 def extract_and_dedup(spark: SparkSession, raw_path: str, full_path: str, deduped_path: str) -> None:
-    """Write the flat table and, from it, the de-duplicated layer."""
+    """Write the flat table and, from it, the de-duplicated layer.
+
+    The layer is laid out by category, because everything built on it selects categories: each later scan reads
+    the folders of its own categories only.
+    """
     write_parquet(extract_places(scan_raw_places(spark, raw_path)), full_path)
-    write_parquet(keep_best_provider(spark.read.parquet(full_path)), deduped_path)
+    write_parquet(keep_best_provider(spark.read.parquet(full_path)), deduped_path, partition_by=["category"])

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from placemill.operators.registers import merge_register, normalize_records
 from placemill.sources.registers import scan_registers
-from placemill.sources.registry import SourceSpec, registry_frame
+from placemill.sources.registry import SourceSpec
 
 
 def harmonised_rows(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
-    return normalize_records(scan_registers(spark, specs), registry_frame(spark, specs))
+    return normalize_records(scan_registers(spark, specs), specs)
 
 
 def merged_register(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from placemill import vocab
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("compression", "zstd").parquet(path)
+def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
+    df.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
@@ -35,7 +35,8 @@ def _wkb_point(lon: pd.Series, lat: pd.Series) -> pd.Series:
     points["order"], points["kind"] = 1, 1
     points["x"], points["y"] = lon.to_numpy("f8", na_value=np.nan), lat.to_numpy("f8", na_value=np.nan)
     usable = lon.notna() & lat.notna()
-    return pd.Series([p.tobytes() if ok else None for p, ok in zip(points, usable)], dtype=object)
+    raw, width = points.tobytes(), layout.itemsize
+    return pd.Series([raw[i * width:(i + 1) * width] if ok else None for i, ok in enumerate(usable)], dtype=object)
 
 
 def wkb_point(lon: Column, lat: Column) -> Column:

@@ -99,17 +99,18 @@ def decode_files(files: DataFrame) -> DataFrame:
     return needed.mapInArrow(_decode, REGISTER_RECORDS)
 
 
-def with_file_settings(files: DataFrame, registry: DataFrame) -> DataFrame:
-    """Attach the registry settings to listed files by path. The registry is the caller's own list."""
-    settings = registry.select(path_key(F.col("path")).alias("_key"), "source_id", "format", "encoding",
-                               "header_row", "sheet")
-    return files.select(path_key(F.col("path")).alias("_key"), "content").join(settings, "_key")
+def with_file_settings(files: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
+    """Attach the registry settings to listed files by path. The registry is the caller's own list, so the
+    file contents stay where they are and the settings are broadcast."""
+    settings = registry_frame(files.sparkSession, specs).select(
+        path_key(F.col("path")).alias("_key"), "source_id", "format", "encoding", "header_row", "sheet")
+    return files.select(path_key(F.col("path")).alias("_key"), "content").join(F.broadcast(settings), "_key")
 
 
 def scan_registers(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
     """Records of all registered files in one scan."""
     files = spark.read.format("binaryFile").load([s.path for s in specs])
-    return decode_files(with_file_settings(files, registry_frame(spark, specs)))
+    return decode_files(with_file_settings(files, specs))
 
 
 def scan_utf8_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from placemill.operators.registers import merge_register, normalize_records
 from placemill.sources.registers import decode_files, with_file_settings
-from placemill.sources.registry import SourceSpec, registry_frame
+from placemill.sources.registry import SourceSpec
 
 
 def arriving_rows(spark: SparkSession, folder: str, specs: Sequence[SourceSpec]) -> DataFrame:
@@ -19,8 +19,7 @@ def arriving_rows(spark: SparkSession, folder: str, specs: Sequence[SourceSpec])
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .load(folder)
     )
-    registry = registry_frame(spark, specs)
-    return normalize_records(decode_files(with_file_settings(files, registry)), registry)
+    return normalize_records(decode_files(with_file_settings(files, specs)), specs)
 
 
 def take_in(spark: SparkSession, folder: str, specs: Sequence[SourceSpec], rows_path: str,

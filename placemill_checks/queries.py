@@ -21,7 +21,6 @@ from placemill.sinks.features import write_geojson_lines
 from placemill.sinks.tables import write_csv, write_parquet, write_register_csv
 from placemill.sources import places as scans
 from placemill.sources.registers import decode_files
-from placemill.sources.registry import registry_frame
 from placemill_checks import frames
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,7 +225,7 @@ def column_completeness(spark, d):
 
 @query
 def source_counts(spark, d):
-    return registers.source_counts(harmonised(spark, d), registry_frame(spark, frames.register_specs()))
+    return registers.source_counts(harmonised(spark, d), frames.register_specs())
 
 
 @query
@@ -255,7 +254,7 @@ def registry_scan(spark, d):
                           const={"city": "M1"}, colmap=frames.REGISTER_COLUMNS, address_parts=("addr1", "no_such_part", "addr2"))
         for k in ("utf8", "sjis", "sjis_declared", "book")
     ]
-    return registers.normalize_records(records, registry_frame(spark, specs)).select(
+    return registers.normalize_records(records, specs).select(
         "srcid", "name", "address", "business_type", "city_raw", "license_no", "license_date", "geocoding_level", "sources")
 
 

@@ -5,7 +5,7 @@ from placemill import vocab
 from placemill.operators import registers as R
 from placemill.plans.registers import harmonised_rows, merged_register
 from placemill.sources.registers import decode_text, scan_registers, scan_utf8_csv
-from placemill.sources.registry import KNOWN_AREAS, SourceSpec, known_registers, registry_frame
+from placemill.sources.registry import KNOWN_AREAS, SourceSpec, known_registers
 from placemill.sources.xlsx import sheet_rows
 from placemill_checks.frames import workbook
 
@@ -60,7 +60,7 @@ def test_all_layouts_give_the_same_rows(spark, files):
 
 def test_missing_columns_are_reported(spark, files):
     records = scan_registers(spark, files)
-    got = {tuple(r) for r in R.missing_columns(records, registry_frame(spark, files)).collect()}
+    got = {tuple(r) for r in R.missing_columns(records, files).collect()}
     assert got == {(s.id, "phone", "電話") for s in files}
 
 
@@ -135,7 +135,7 @@ def test_reports(spark):
 def test_source_counts_list_silent_sources(spark):
     specs = [spec("a", "/a"), spec("b", "/b")]
     rows = register(spark, [dict(name="x", srcid="a", rank=0, pos=0)])
-    got = {(r.source, r.records, r.avail) for r in R.source_counts(rows, registry_frame(spark, specs)).collect()}
+    got = {(r.source, r.records, r.avail) for r in R.source_counts(rows, specs).collect()}
     assert got == {("Source a", 1, "✅"), ("Source b", 0, "")}
 
 
