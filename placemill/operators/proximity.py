@@ -27,19 +27,18 @@ _LEFT, _RIGHT, _BELOW, _ABOVE, _INSIDE = range(5)
 
 def _outline(partners: DataFrame, grid: SearchGrid, keys: Sequence[str], lon: Column, lat: Column) -> DataFrame:
     """Per search cell: one row if a partner lies in it, else the partners that can matter from around."""
-    own_row = grid.row(F.col("plat"))
     copies = (
         partners.where(is_point(lon, lat))
         .select(*[F.col(k).alias(f"k_{k}") for k in keys], lon.alias("plon"), lat.alias("plat"))
         .withColumn("cell_y", F.explode(grid.rows_near(F.col("plat"))))
         .withColumn("cell_x", F.explode(grid.columns_near(F.col("plon"), F.col("cell_y"))))
-        .withColumn("x_shift", grid.column(F.col("plon"), F.col("cell_y")) - F.col("cell_x"))
-        .withColumn("y_shift", own_row - F.col("cell_y"))
-        .withColumn(
-            "side",
-            F.when(F.col("x_shift") < 0, _LEFT).when(F.col("x_shift") > 0, _RIGHT)
-            .when(F.col("y_shift") < 0, _BELOW).when(F.col("y_shift") > 0, _ABOVE).otherwise(_INSIDE),
-        )
+    )
+    x_shift = grid.column(F.col("plon"), F.col("cell_y")) - F.col("cell_x")
+    y_shift = grid.row(F.col("plat")) - F.col("cell_y")
+    copies = copies.withColumn(
+        "side",
+        F.when(x_shift < 0, _LEFT).when(x_shift > 0, _RIGHT)
+        .when(y_shift < 0, _BELOW).when(y_shift > 0, _ABOVE).otherwise(_INSIDE),
     )
     sideways, inside = F.col("side").isin(_LEFT, _RIGHT), F.col("side") == _INSIDE
     sign = F.when(F.col("side").isin(_LEFT, _BELOW), F.lit(1.0)).otherwise(F.lit(-1.0))
@@ -63,10 +62,8 @@ def _near_join(how: str, rows: DataFrame, partners: DataFrame, metric: Degrees |
                lon: str, lat: str) -> DataFrame:
     grid = SearchGrid(metric)
     valid = is_point(F.col(lon), F.col(lat))
-    probe = (
-        rows.withColumn("_cy", F.when(valid, grid.row(F.col(lat))))
-        .withColumn("_cx", F.when(valid, grid.column(F.col(lon), F.col("_cy"))))
-    )
+    row = grid.row(F.col(lat))
+    probe = rows.withColumns({"_cy": F.when(valid, row), "_cx": F.when(valid, grid.column(F.col(lon), row))})
     outline = _outline(partners, grid, on, F.col(lon), F.col(lat))
     condition = (F.col("_cx") == F.col("cell_x")) & (F.col("_cy") == F.col("cell_y"))
     for key in on:

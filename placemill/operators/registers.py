@@ -16,13 +16,14 @@ from placemill.sources.registry import SourceSpec, registry_frame
 
 _DERIVED = ("geocoding_level", "sources", "licenses")
 _MAPPED = [c for c in vocab.REGISTER_COLUMNS if c not in _DERIVED]
+DATE_COLUMNS = ("license_date", "expire_date")
 ORDER = ("source_rank", "row_pos")
 
 
 def _finish(values: dict[str, Column], rows: DataFrame, source_id: Column, rank: Column, source_name: Column,
-            license_: Column) -> DataFrame:
+            license_: Column, dates: Sequence[str] = DATE_COLUMNS) -> DataFrame:
     """What follows mapping, address and constants, in this order: city fallback, dates, level, provenance,
-    blank rows out."""
+    blank rows out. ``dates`` are the date columns that can hold anything."""
     mapped = rows.select(
         *[values[c].alias(c) for c in _MAPPED], source_name.alias("sources"), license_.alias("licenses"),
         source_id.alias("srcid"), rank.alias("source_rank"), "row_pos",
@@ -32,9 +33,8 @@ def _finish(values: dict[str, Column], rows: DataFrame, source_id: Column, rank:
         mapped.where(is_filled(F.col("name")) | is_filled(F.col("address")))
         .withColumns({
             "city_raw": F.when(F.col("city_raw") == "", F.col("city")).otherwise(F.col("city_raw")),
-            "license_date": normalize_date(F.col("license_date")),
-            "expire_date": normalize_date(F.col("expire_date")),
             "geocoding_level": F.when(located, "source").otherwise(""),
+            **{c: normalize_date(F.col(c)) for c in dates},
         })
         .select(*vocab.REGISTER_COLUMNS, "srcid", *ORDER)
     )
@@ -54,7 +54,8 @@ def normalize_frame(raw: DataFrame, spec: SourceSpec, rank: int = 0) -> DataFram
     if parts:
         values["address"] = join_filled([text(p) for p in parts])
     values.update({k: F.lit(v) for k, v in spec.const.items()})
-    return _finish(values, raw, F.lit(spec.id), F.lit(rank).cast("bigint"), F.lit(spec.source_name), F.lit(spec.license))
+    dates = [c for c in DATE_COLUMNS if c in spec.colmap or c in spec.const]
+    return _finish(values, raw, F.lit(spec.id), F.lit(rank).cast("bigint"), F.lit(spec.source_name), F.lit(spec.license), dates)
 
 
 def _settings(spark, specs: Sequence[SourceSpec]) -> DataFrame:

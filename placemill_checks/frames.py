@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placemill.session import scratch_path
-from placemill.sinks.tables import write_parquet
+from placemill.session import stable
 from placemill.sources.registry import SourceSpec
 from placemill_checks import views
 
@@ -22,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _derived(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -30,10 +29,8 @@ def _derived(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Da
     to the shared folder once per application, so that queries start from a scan."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        path = scratch_path(spark, name)
-        write_parquet(build(), path)
-        _written[key] = path
-    return spark.read.parquet(_written[key])
+        _written[key] = stable(build(), name)
+    return _written[key]
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:
