@@ -36,6 +36,10 @@ class Degrees:
         dx, dy = other_lon - lon, other_lat - lat
         return dx * dx + dy * dy <= F.lit(self.radius * self.radius)
 
+    def box_squares(self, dx: Column, dy: Column, cos_lat: Column) -> Column:
+        """Squared distance for given differences; ``cos_lat`` plays no part."""
+        return dx * dx + dy * dy
+
     @property
     def reach_lat(self) -> float:
         return self.radius
@@ -53,6 +57,11 @@ class Metres:
     def within(self, lon: Column, lat: Column, other_lon: Column, other_lat: Column) -> Column:
         return equirectangular_m(lon, lat, other_lon, other_lat) <= F.lit(float(self.radius))
 
+    def box_squares(self, dx: Column, dy: Column, cos_lat: Column) -> Column:
+        """Squared distance for given differences at a latitude's cosine."""
+        x, y = dx * vocab.METRES_PER_DEGREE_LON * cos_lat, dy * vocab.METRES_PER_DEGREE_LAT
+        return x * x + y * y
+
     @property
     def reach_lat(self) -> float:
         return self.radius / vocab.METRES_PER_DEGREE_LAT
@@ -89,6 +98,15 @@ class SearchGrid:
         widest_cos, _ = self._edge_cos(row)
         return F.floor(lon / self.metric.lon_span(self.metric.radius / math.sqrt(2) * self._SHRINK, widest_cos))
 
+    def fine_row(self, lat: Column, parts: int) -> Column:
+        return F.floor(lat / F.lit(self.height / parts))
+
+    def fine_column(self, lon: Column, row: Column, parts: int) -> Column:
+        """Column of the given row of cells when each cell is divided."""
+        widest_cos, _ = self._edge_cos(row)
+        width = self.metric.radius / math.sqrt(2) * self._SHRINK / parts
+        return F.floor(lon / self.metric.lon_span(width, widest_cos))
+
     def rows_near(self, lat: Column) -> Column:
         return F.sequence(self.row(lat - F.lit(self.reach)), self.row(lat + F.lit(self.reach)))
 

@@ -11,6 +11,8 @@ The question is only *whether* a partner lies within the radius, so no pair is e
 * The remaining join is a semi/anti join on the cell with the distance as residual: it stops at the first
   hit. A crowded cell on the probing side is split by adaptive execution, which may split the left side of
   semi and anti joins.
+* If a cell still has more than a few thousand candidates, it is divided: boxes of fine cells decide most rows
+  at once, and points are compared only where a box straddles the radius.
 """
 
 from __future__ import annotations
@@ -21,6 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill.functions.geo import Degrees, Metres, SearchGrid, is_point
+from placemill.session import stable
+
+MAX_CELL_PARTNERS = 2000  # candidates per search cell beyond which the cell is divided
+FINE_PARTS = 32           # fine cells per search cell and axis
 
 _LEFT, _RIGHT, _BELOW, _ABOVE, _INSIDE = range(5)
 
@@ -58,30 +64,100 @@ def _outline(partners: DataFrame, grid: SearchGrid, keys: Sequence[str], lon: Co
     )
 
 
+def _box(rows: DataFrame, keys: Sequence[str], lon: str, lat: str, tag: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[
+        f(c).alias(f"{tag}_{name}") for c, axis in ((lon, "x"), (lat, "y"))
+        for f, name in ((F.min, f"{axis}0"), (F.max, f"{axis}1"))
+    ])
+
+
+def _between_boxes(metric: Degrees | Metres) -> tuple[Column, Column]:
+    """Whether any, and whether every, pair of points of a probe box ``g`` and a partner box ``p`` can be near."""
+    def gap(axis):
+        return F.greatest(F.lit(0.0), F.col(f"p_{axis}0") - F.col(f"g_{axis}1"), F.col(f"g_{axis}0") - F.col(f"p_{axis}1"))
+
+    def span(axis):
+        return F.greatest(F.col(f"p_{axis}1") - F.col(f"g_{axis}0"), F.col(f"g_{axis}1") - F.col(f"p_{axis}0"))
+
+    low, high = F.abs(F.col("g_y0")), F.abs(F.col("g_y1"))
+    nearest_equator = F.when(F.signum("g_y0") != F.signum("g_y1"), F.lit(0.0)).otherwise(F.least(low, high))
+    slack = 1e-9  # relative room for rounding; what falls into it is tested point by point
+    square = metric.radius * metric.radius
+    some = metric.box_squares(gap("x"), gap("y"), F.cos(F.radians(F.greatest(low, high)))) <= F.lit(square * (1 + slack))
+    every = metric.box_squares(span("x"), span("y"), F.cos(F.radians(nearest_equator))) <= F.lit(square * (1 - slack))
+    return some, every
+
+
+def _refined(probe: DataFrame, outline: DataFrame, grid: SearchGrid, cell: Sequence[str], lon: str, lat: str) -> DataFrame:
+    """Candidates of crowded cells per fine cell of the probing rows.
+
+    Bounding boxes of fine cells settle most of it: where every pair is near, the fine cell is one certain row;
+    where none can be, nothing is kept. Points are compared only along the thin seam in between.
+    """
+    fine_p = {"px": grid.fine_column(F.col("p_lon"), F.col("cell_y"), FINE_PARTS), "py": grid.fine_row(F.col("p_lat"), FINE_PARTS)}
+    points = outline.withColumns(fine_p)
+    partner_boxes = _box(points, [*cell, "px", "py"], "p_lon", "p_lat", "p")
+    probe_boxes = _box(probe, [*cell, "_fx", "_fy"], lon, lat, "g")
+    some, every = _between_boxes(grid.metric)
+    pairs = probe_boxes.join(partner_boxes, list(cell)).where(some).select(
+        *cell, "_fx", "_fy", "px", "py", every.alias("certain"))
+    fine = [*cell, "_fx", "_fy"]
+    certain = pairs.where("certain").select(*fine, "certain").distinct()
+    seam = pairs.join(certain, fine, "left_anti").drop("certain").join(
+        points.drop("certain"), [*cell, "px", "py"]).select(*fine, F.lit(False).alias("certain"), "p_lon", "p_lat")
+    nowhere = F.lit(None).cast("double")
+    return certain.select(*fine, "certain", nowhere.alias("p_lon"), nowhere.alias("p_lat")).unionByName(seam)
+
+
+def _crowded(outline: DataFrame, cell: Sequence[str], limit: int) -> DataFrame:
+    """Cells with many candidates and no partner of their own."""
+    return outline.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.max("certain").alias("certain")).where(
+        (F.col("n") > limit) & ~F.col("certain")).select(*cell)
+
+
 def _near_join(how: str, rows: DataFrame, partners: DataFrame, metric: Degrees | Metres, on: Sequence[str],
-               lon: str, lat: str) -> DataFrame:
+               lon: str, lat: str, max_cell_partners: int) -> DataFrame:
     grid = SearchGrid(metric)
     valid = is_point(F.col(lon), F.col(lat))
     row = grid.row(F.col(lat))
-    probe = rows.withColumns({"_cy": F.when(valid, row), "_cx": F.when(valid, grid.column(F.col(lon), row))})
     outline = _outline(partners, grid, on, F.col(lon), F.col(lat))
-    condition = (F.col("_cx") == F.col("cell_x")) & (F.col("_cy") == F.col("cell_y"))
-    for key in on:
-        condition = condition & (probe[key] == F.col(f"k_{key}"))
-    condition = condition & (
-        F.col("certain") | metric.within(probe[lon], probe[lat], F.col("p_lon"), F.col("p_lat"))
-    )
-    return probe.join(outline, condition, how).drop("_cx", "_cy")
+    cell = [*[f"k_{k}" for k in on], "cell_x", "cell_y"]
+    cell_of = {**{f"k_{k}": F.col(k) for k in on},
+               "cell_x": F.when(valid, grid.column(F.col(lon), row)), "cell_y": F.when(valid, row)}
+    near = F.col("certain") | metric.within(F.col(lon), F.col(lat), F.col("p_lon"), F.col("p_lat"))
+
+    def join(probe, candidates, keys, kind):
+        right = candidates.withColumnsRenamed({k: f"r_{k}" for k in keys})
+        condition = near
+        for k in keys:
+            condition = condition & (F.col(k) == F.col(f"r_{k}"))
+        return probe.join(right, condition, kind)
+
+    probe = rows.withColumns(cell_of)
+    if _crowded(outline, cell, max_cell_partners).isEmpty():
+        return join(probe, outline, cell, how).select(*rows.columns)
+
+    outline = stable(outline, "outline")
+    crowded = _crowded(outline, cell, max_cell_partners)
+    plain = outline.join(crowded, cell, "left_anti")
+    fine_of = {"_fx": grid.fine_column(F.col(lon), F.col("cell_y"), FINE_PARTS), "_fy": F.when(valid, grid.fine_row(F.col(lat), FINE_PARTS))}
+    fine_probe = probe.withColumns(fine_of)
+    refined = _refined(fine_probe.join(crowded, cell, "left_semi"), outline.join(crowded, cell, "left_semi"), grid, cell, lon, lat)
+    fine = [*cell, "_fx", "_fy"]
+    if how == "left_anti":
+        return join(join(fine_probe, plain, cell, how), refined, fine, how).select(*rows.columns)
+    return join(probe, plain, cell, how).select(*rows.columns).unionByName(
+        join(fine_probe, refined, fine, how).select(*rows.columns))
 
 
 def having_neighbour(rows: DataFrame, partners: DataFrame, metric: Degrees | Metres, on: Sequence[str] = (),
-                     lon: str = "lon", lat: str = "lat") -> DataFrame:
+                     lon: str = "lon", lat: str = "lat", max_cell_partners: int = MAX_CELL_PARTNERS) -> DataFrame:
     """Rows with a partner of equal ``on`` columns within the radius (inclusive). Distances are scaled at the
     row's latitude. Rows without usable coordinates have no neighbour."""
-    return _near_join("left_semi", rows, partners, metric, on, lon, lat)
+    return _near_join("left_semi", rows, partners, metric, on, lon, lat, max_cell_partners)
 
 
 def without_neighbour(rows: DataFrame, partners: DataFrame, metric: Degrees | Metres, on: Sequence[str] = (),
-                      lon: str = "lon", lat: str = "lat") -> DataFrame:
+                      lon: str = "lon", lat: str = "lat", max_cell_partners: int = MAX_CELL_PARTNERS) -> DataFrame:
     """The complement of :func:`having_neighbour`; rows without usable coordinates are kept."""
-    return _near_join("left_anti", rows, partners, metric, on, lon, lat)
+    return _near_join("left_anti", rows, partners, metric, on, lon, lat, max_cell_partners)

@@ -20,13 +20,13 @@ def near(metric, a, b):
                      + ((b[1] - a[1]) * 110540.0) ** 2) <= metric.radius
 
 
-def check(spark, metric, left, right, on=()):
+def check(spark, metric, left, right, on=(), **limits):
     rows = spark.createDataFrame([(i, k, *p) for i, (k, p) in enumerate(left)], "id int, k string, lon double, lat double")
     partners = spark.createDataFrame([(k, *p) for k, p in right], "k string, lon double, lat double")
     want = {i for i, (k, p) in enumerate(left)
             if any((not on or (k is not None and k == kr)) and near(metric, p, q) for kr, q in right)}
-    got = [r.id for r in having_neighbour(rows, partners, metric, on).collect()]
-    rest = [r.id for r in without_neighbour(rows, partners, metric, on).collect()]
+    got = [r.id for r in having_neighbour(rows, partners, metric, on, **limits).collect()]
+    rest = [r.id for r in without_neighbour(rows, partners, metric, on, **limits).collect()]
     assert sorted(got) == sorted(want)
     assert sorted(rest) == sorted(set(range(len(left))) - want)
 
@@ -44,6 +44,17 @@ def test_equals_brute_force(spark, metric, spread, lon, lat):
     check(spark, metric, left, right)
 
 
+@pytest.mark.parametrize("metric,spread", [(Metres(50.0), 0.002), (Degrees(0.0011), 0.004)])
+@pytest.mark.parametrize("lon,lat", [(135.0, 35.0), (0.0, 0.0), (-70.0, -33.0)])
+def test_divided_cells_equal_brute_force(spark, metric, spread, lon, lat):
+    rng = random.Random(f"{metric}{lon}{lat}")
+    left, right = cloud(rng, 300, lon, lat, spread), cloud(rng, 120, lon, lat, spread)
+    right += [("a", (lon + rng.uniform(0, 1e-4), lat + rng.uniform(0, 1e-4))) for _ in range(200)]
+    left += [(None, (None, 1.0)), ("a", (float("nan"), 1.0)), ("a", (lon, lat))]
+    check(spark, metric, left, right, ("k",), max_cell_partners=3)
+    check(spark, metric, left, right, max_cell_partners=0)
+
+
 def test_near_the_pole(spark):
     rng = random.Random(7)
     wide = lambda n: [("a", (rng.uniform(-180, 180), 89.99 + rng.uniform(-0.01, 0.0099))) for _ in range(n)]
