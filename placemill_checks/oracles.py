@@ -62,7 +62,6 @@ _BUCKET = ("CASE category WHEN 'supermarket' THEN 'super' WHEN 'convenience_stor
            " WHEN 'grocery_store' THEN 'grocery' ELSE 'fresh' END")
 _LAYER_COLUMNS = ("id, name, category, replace(alt_csv, ',', '|') AS category_alt, confidence, brand_wikidata, brand_name, "
                   "operating_status, country, region, locality, address, lon, lat, chain, dedup_method")
-_DEGREE_D2 = vocab.DUPLICATE_DEGREES * vocab.DUPLICATE_DEGREES
 
 
 def _near_deg(a: str, b: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placemill import vocab
-from placemill.functions.classify import chain_of, chain_or_other, is_branded, label_of
+from placemill.functions.classify import chain_of, chain_or_other, is_branded
 from placemill.functions.dates import normalize_date
 from placemill.operators import branches, features, providers, registers, tiles
 from placemill.operators.extract import extract_places
@@ -18,7 +18,7 @@ from placemill.plans import master as M
 from placemill.plans import reports
 from placemill.session import scratch_path
 from placemill.sinks.features import write_geojson_lines
-from placemill.sinks.tables import write_csv, write_parquet, write_register_csv
+from placemill.sinks.tables import write_parquet, write_register_csv
 from placemill.sources import places as scans
 from placemill.sources.registers import decode_files
 from placemill_checks import frames
