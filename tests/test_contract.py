@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import check, connect
+from placemill_checks.oracles import ORACLES
+from placemill_checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +16,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -22,7 +25,7 @@ def test_entry(spark):
     assert out.columns == ["store_id", "cat", "name", "brand", "src", "prefecture", "lat", "lng"] and out.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
