@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.llm import bpe, chat, exact, langid, mixing
+from placemill.llm import bpe, chat, exact, html_text, imatch, langid, mixing, quality
 from placemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,16 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), imatch.shown(F.col("print")).alias("fingerprint"),
+        imatch.shown(F.col("edited_print")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -70,6 +80,10 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 """
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.repetitions(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -99,10 +113,13 @@ SELECT doc_id, size, source_size, target,
 """
 
 QUERIES: dict[str, Query] = {
+    "op2_html": op2_html,
+    "op3_fingerprint": op3_fingerprint,
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
     "op7_chat": op7_chat,
     "op8_exact": op8_exact,
+    "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op8_exact": OP8_SQL, "op10_mixing": OP10_SQL}
