@@ -13,8 +13,8 @@ this document, and fingerprints are compared on the densities they share.
 Defined results: a NULL text is the empty text; equal texts have equal fingerprints; a text without kept terms is
 fingerprinted by all its terms; equal fingerprints are alike (1), also empty ones. Documents follow each other by
 descending doc_id, NULL last, ties by a hash of the text; the last is followed by the first, and a single one by itself.
-A row that occurs several times has one place in that order and one result row per occurrence. An empty table gives
-an empty result; other columns are ignored.
+A row that occurs several times is followed by its own copies. An empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placemill.llm.common import text_or_empty
-from placemill.session import stable
 
 IDF_BAND = (1.2, 6.9)  # natural logarithms: terms in 30 % to 0.1 % of the documents
 SLOTS = 1 << 20
@@ -103,44 +102,39 @@ def shown(prints: Column) -> Column:
     return F.array_join(F.transform(prints, lambda x: F.lower(F.hex(x))), ".")
 
 
-def followers(docs: DataFrame) -> DataFrame:
-    """Each distinct (doc_id, text hash) with its fingerprint, third, and the key and fingerprint of the next one.
-
-    The order is cut into ranges; the last of each range finds its follower in a table of one row per range."""
-    keys = docs.groupBy("key", "hash").agg(F.max("doc_id").alias("doc_id"), F.max("third").alias("third"), F.first("print").alias("print"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("hash").desc()]
-    ranged = stable(keys.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "order")
-    here = F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "hash", "key", "print")
-    after = F.struct("key", "hash", "print")
-    starts = ranged.groupBy("range").agg(F.max(here).alias("start"))
-    ranges = Window.partitionBy(F.lit(0)).orderBy("range")
-    first = F.first("start").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    nexts = starts.select("range", F.coalesce(F.lead("start").over(ranges), first).alias("start"))
-    own = ranged.withColumn("next", F.lead(after).over(Window.partitionBy("range").orderBy(*order)))
-    following = F.coalesce("next", F.struct("start.key", "start.hash", "start.print"))
-    return own.join(F.broadcast(nexts), "range").select("key", "hash", "third", "print", following.alias("next"))
+def with_follower(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """``rows`` (key, hash, ...) with ``columns`` of the row that follows in descending order, as struct ``next``.
+
+    The first rows of as many ranges as there are shuffle partitions cut the order into blocks. Each row is sent to its
+    block, the first row of a block also to the block before, so the rows move once."""
+    keys = rows.select("key", "hash").repartitionByRange(F.col("key").desc(), F.col("hash").desc())
+    firsts = keys.groupBy(F.spark_partition_id()).agg(F.max(F.struct("key", "hash")).alias("first")).select("first.*").collect()
+    starts = sorted(firsts, reverse=True)  # one per partition
+    listed = F.array(*[F.struct(F.lit(k).cast("long").alias("key"), F.lit(h).cast("long").alias("hash")) for k, h in starts])
+    if not starts:
+        return rows.withColumn("next", F.struct(*columns)).where("false")
+    before = F.filter(listed, lambda s: (s["key"] > F.col("key")) | ((s["key"] == F.col("key")) & (s["hash"] >= F.col("hash"))))
+    is_first = F.exists(listed, lambda s: (s["key"] == F.col("key")) & (s["hash"] == F.col("hash")))
+    place = lambda block, extra: F.struct(block.cast("int").alias("block"), F.lit(extra).alias("extra"))
+    placed = rows.withColumn("block", F.size(before) - 1).withColumn("is_first", is_first)
+    previous = (F.col("block") + len(starts) - 1) % len(starts)
+    places = F.when(F.col("is_first"), F.array(place(F.col("block"), False), place(previous, True))).otherwise(
+        F.array(place(F.col("block"), False)))
+    sent = placed.withColumn("place", F.explode(places)).drop("block", "is_first")
+    order = Window.partitionBy("place.block").orderBy("place.extra", F.col("key").desc(), F.col("hash").desc())
+    return sent.withColumn("next", F.lead(F.struct(*columns)).over(order)).where("NOT place.extra").drop("place")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited (the edited text), print, edited_print, near_edited, near_next for every document."""
-    text = text_or_empty()
     bitmap = lexicon(docs)
-    n = F.char_length("text")
-    rows = docs.select("doc_id", text.alias("text")).withColumns({
+    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumns({
         "key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "hash": F.xxhash64("text")})
-    printed = rows.withColumns({"third": F.expr("char_length(text) div 3").cast("int"), "print": fingerprint(kept_terms(terms_of(F.col("text")), bitmap))})
-    links = stable(followers(printed.select("doc_id", "key", "hash", "third", "print")), "followers")
-    wanted = links.select("key", "hash", "third", F.col("next.key").alias("next_key"), F.col("next.hash").alias("next_hash"))
-    texts = rows.select(F.col("key").alias("next_key"), F.col("hash").alias("next_hash"), "text")
-    heads = (
-        wanted.join(texts, ["next_key", "next_hash"])
-        .select("key", "hash", F.substring("text", F.lit(1), F.col("third")).alias("head"))
-        .groupBy("key", "hash").agg(F.max("head").alias("head"))
-    )
-    pairs = rows.join(heads, ["key", "hash"]).join(
-        links.select("key", "hash", "third", "print", F.col("next.print").alias("next_print")), ["key", "hash"])
-    edited = F.concat(F.substring("text", F.lit(1), n - F.col("third")), F.col("head"))
-    done = pairs.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "print", "next_print").withColumn(
+    printed = rows.withColumn("print", fingerprint(kept_terms(terms_of(F.col("text")), bitmap)))
+    followed = with_follower(printed, ("text", "print"))
+    n, third = F.char_length("text"), F.expr("cast(char_length(text) div 3 as int)")
+    edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring(F.col("next.text"), F.lit(1), third))
+    done = followed.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "print", F.col("next.print").alias("next_print")).withColumn(
         "edited_print", fingerprint(kept_terms(terms_of(F.col("edited")), bitmap)))
     return done.withColumns({"near_edited": likeness(F.col("print"), F.col("edited_print")),
                              "near_next": likeness(F.col("print"), F.col("next_print"))})
