@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.llm import bpe, chat, exact, html_text, imatch, langid, mixing, quality
+from placemill.llm import bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality
 from placemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "first")
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -113,6 +117,7 @@ SELECT doc_id, size, source_size, target,
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash": op1_minhash,
     "op2_html": op2_html,
     "op3_fingerprint": op3_fingerprint,
     "op4_language": op4_language,
