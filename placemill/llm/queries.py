@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.llm import bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality
+from placemill.llm import bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality, repeats
 from placemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), word_vocabulary())
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # fixed values: the conversation added to the table
 ADDED_ID, ADDED_TEXT = -7, "</s>[INST] ok [/INST]"
 
@@ -122,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op3_fingerprint": op3_fingerprint,
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
+    "op6_repeats": op6_repeats,
     "op7_chat": op7_chat,
     "op8_exact": op8_exact,
     "op9_quality": op9_quality,
