@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemill.llm.common import map_batches
+from placemill.llm.common import map_batches, schema_text
 
 SHORT = 100
 CACHE_WORDS = 300_000
@@ -172,8 +172,7 @@ def _with(df: DataFrame, source: str, name: str, kind: str, fn) -> DataFrame:
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([*batch.columns, fn(batch.column(position))], names=[*batch.schema.names, name])
 
-    quoted = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return map_batches(kept, each, f"{quoted}, `{name}` {kind}")
+    return map_batches(kept, each, f"{schema_text(kept)}, `{name}` {kind}")
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -32,13 +32,32 @@ def stream_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Itera
     return df.mapInArrow(fn, schema)
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not use."""
+    used = {c.lower() for c in df.columns}
+    while name in used:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The frame with a number per row. Two passes over one table scan number its rows alike."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
 
+def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of a table scan whose number is in ``rows`` (row), all columns."""
+    number = fresh(docs, "_row")
+    return numbered(docs, number).join(rows.select(F.col("row").alias(number)), number, "left_semi").select(*docs.columns)
 
-def remainder(column: str, modulus: int) -> Column:
-    """crc32 of the value as text, modulo; NULL for NULL."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+
+def schema_text(df: DataFrame) -> str:
+    """The frame's schema as text that keeps odd column names."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def text_or_empty(column: str = "text") -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
 def unit_hash(*columns: Column) -> Column:

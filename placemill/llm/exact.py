@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemill.llm.common import map_batches, stream_batches
+from placemill.llm.common import keep_rows, map_batches, stream_batches
 from placemill.session import stable
 
 SLOTS = 4            # cells of a bucket
@@ -178,6 +178,4 @@ def find_copies(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, all columns. ``docs`` must be a table scan: its rows are numbered in two passes."""
-    kept = find_copies(docs).where("kept").select(F.col("row").alias("_kept_row"))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(
-        kept, F.col("_row") == F.col("_kept_row"), "left_semi").select(*docs.columns)
+    return keep_rows(docs, find_copies(docs).where("kept"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placemill.llm.common import map_batches
+from placemill.llm.common import map_batches, schema_text
 
 SLOTS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -147,8 +147,19 @@ def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",
         return pa.record_batch([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                names=[*[f.name for f in kept], "lang_pred", "score"])
 
-    quoted = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return map_batches(rows, each, f"{quoted}, lang_pred string, score double")
+    return map_batches(rows, each, f"{schema_text(rows.drop('_text'))}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The documents, all columns, whose language is predicted with a score of at least ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    position = docs.columns.index("text")
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        langs, scores = shared.value.predict(batch.column(position).to_pylist())
+        return batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
+
+    return map_batches(docs, each, schema_text(docs))
 
 
 def identify(docs: DataFrame, modulus: int = 5) -> DataFrame:

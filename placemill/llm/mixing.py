@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placemill.llm.common import text_or_empty, unit_hash
+from placemill.llm.common import fresh, numbered, text_or_empty, unit_hash
 from placemill.session import stable
 
 # fixed values: what counts as a word, and the cycle of weights over the sources
@@ -78,10 +78,7 @@ def repetitions(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed documents: each row repeated as often as the mix takes it. ``docs`` must be a table scan."""
-    plan = repetitions(docs).where("copies > 0").select(F.col("row").alias("_plan_row"), F.col("copies").alias("_copies"))
-    return (
-        docs.withColumn("_row", F.monotonically_increasing_id())
-        .join(plan, F.col("_row") == F.col("_plan_row"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .select(*docs.columns)
-    )
+    number, copies, copy = (fresh(docs, name) for name in ("_row", "_copies", "_copy"))
+    plan = repetitions(docs).where("copies > 0").select(F.col("row").alias(number), F.col("copies").cast("int").alias(copies))
+    taken = numbered(docs, number).join(plan, number)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemill.llm.common import map_batches
+from placemill.llm.common import map_batches, schema_text
 from placemill.session import stable
 
 SHRINKAGE = 0.1   # weight of the diagonal target in each class covariance
@@ -117,7 +117,7 @@ def vectors(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFram
         return pa.record_batch([*batch.columns[:-1], _rows(_vectors(batch.column(len(kept)).to_pylist()))],
                                names=[*[f.name for f in kept], "vector"])
 
-    return map_batches(rows, each, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", vector array<double>")
+    return map_batches(rows, each, f"{schema_text(rows.drop('_text'))}, vector array<double>")
 
 
 def _moment_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -145,15 +145,15 @@ def fit(labelled: DataFrame) -> Discriminant:
 def score(measured: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``measured`` with score and predicted in place of their vector."""
     shared = measured.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in measured.schema.fields if f.name != "vector"]
+    names = [c for c in measured.columns if c != "vector"]
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = shared.value.score(_matrix(batch.column(len(kept))))
+        scores = shared.value.score(_matrix(batch.column(len(names))))
         return pa.record_batch([*batch.columns[:-1], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
-                               names=[*[f.name for f in kept], "score", "predicted"])
+                               names=[*names, "score", "predicted"])
 
-    return map_batches(measured.select(*[f"`{f.name}`" for f in kept], "vector"), each,
-                       ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", score double, predicted int")
+    rest = measured.drop("vector")
+    return map_batches(measured.select(*rest.columns, "vector"), each, f"{schema_text(rest)}, score double, predicted int")
 
 
 def judge(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame:
