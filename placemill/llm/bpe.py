@@ -3,7 +3,7 @@
 A short word holds its part boundaries and the ranks of adjacent parts in one contiguous array: the smallest rank is
 found by a scan, its boundary is deleted, and the two neighbouring ranks are refreshed. Scanning is quadratic, so words
 of more than ``SHORT`` symbols go through a heap of the same ranks with the same result. Each worker keeps words it has
-met, up to ``CACHE_WORDS``.
+met, the last ``CACHE_WORDS`` to twice as many.
 
 The vocabulary's path is a parameter; its content travels to the tasks as one broadcast of fixed size.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from placemill.llm.common import map_batches, schema_text
 
 SHORT = 100
-CACHE_WORDS = 300_000
+CACHE_WORDS = 250_000
 NO_RANK = 1 << 60
 
 # fixed values of the vocabulary format: white space, the word pattern, the mark of a word's end
@@ -38,10 +38,9 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+"
 WORD_END = "</w>"
 
-# The same pattern for Latin-1 texts without apostrophes and without the characters that the two regular-expression
-# libraries class differently: fractions, superscripts and information separators.
-COMMON_WORDS = r"[^\W\d_]+|(?:[^\w\s]|_)+|\d"
-UNCOMMON = "'\x1c\x1d\x1e\x1f\xb2\xb3\xb9\xbc\xbd\xbe"
+# The same pattern spelled out for lower-case Latin-1 texts without apostrophes, which the standard library scans faster.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+COMMON_WORDS = rf"[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}\t-\r \x85\xa0]+"
 
 
 @lru_cache(1)
@@ -63,7 +62,7 @@ def _is_common(text: str) -> bool:
         text.encode("latin-1")
     except UnicodeEncodeError:
         return False
-    return not any(c in text for c in UNCOMMON)
+    return "'" not in text
 
 
 class WordBPE:
@@ -84,6 +83,10 @@ class WordBPE:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.common_words = re.compile(COMMON_WORDS)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.shown = np.empty(max(self.tokens, default=0) + 1, object)
+        for i, token in self.tokens.items():
+            self.shown[i] = token
 
     def _merge_short(self, parts: list[int]) -> list[int]:
         rank_of, merged = self.ranks.get, self.merged
@@ -121,23 +124,30 @@ class WordBPE:
         return [p for p in parts if p >= 0]
 
     def _word(self, word: str) -> tuple[int, ...]:
-        data = word.encode("utf-8", "surrogatepass")
-        parts = [self.inner[b] for b in data]
-        parts[-1] = self.final[data[-1]]
-        ids = tuple(self._merge_short(parts) if len(parts) <= SHORT else self._merge_long(parts))
-        if len(parts) <= SHORT:
+        """A word not among the recent ones. The recent ones become the older ones when they are too many, so words in
+        use are not forgotten."""
+        ids = self.known.get(word) or self.older.get(word) or self._merged(word)
+        if len(word) <= SHORT:
             if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[word] = ids
         return ids
 
+    def _merged(self, word: str) -> tuple[int, ...]:
+        data = word.encode("utf-8", "surrogatepass")
+        parts = [self.inner[b] for b in data]
+        parts[-1] = self.final[data[-1]]
+        return tuple(self._merge_short(parts) if len(parts) <= SHORT else self._merge_long(parts))
+
     def _plain(self, text: str) -> list[int]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         words = (self.common_words if _is_common(text) else self.words).findall(text)
-        known = self.known.get
-        return list(chain.from_iterable(known(w) or self._word(w) for w in words))
+        found = list(map(self.known.get, words))
+        if None in found:
+            found = [self._word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        return list(chain.from_iterable(found))
 
     def encode(self, text: str) -> list[int]:
         if self.cut is None or "<|" not in text:
@@ -195,8 +205,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     content = _content(df, path)
 
     def texts(lists: pa.Array) -> pa.Array:
-        bpe = _loaded(content.value)
-        return pa.array([bpe.decode(x) if x else "" for x in lists.to_pylist()], pa.string())
+        tokens = _loaded(content.value).shown[lists.flatten().to_numpy(zero_copy_only=False)]
+        ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        return pa.array([" ".join(tokens[i:j].tolist()) for i, j in zip([0, *ends[:-1]], ends, strict=True)], pa.string())
 
     return _with(df, ids, text, "string", texts)
 
