@@ -137,8 +137,10 @@ class Runs:
 
 def _split(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     """(range, from, to) of the stretches of sorted keys with equal top bits."""
+    if not len(keys):
+        return []
     tops = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-    cuts = np.flatnonzero(np.concatenate([[True], tops[1:] != tops[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], tops[1:] != tops[:-1]]))
     return [(int(tops[i]), int(i), int(j)) for i, j in zip(cuts, [*cuts[1:], len(keys)], strict=True)]
 
 
