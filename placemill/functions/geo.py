@@ -36,10 +36,6 @@ class Degrees:
         dx, dy = other_lon - lon, other_lat - lat
         return dx * dx + dy * dy <= F.lit(self.radius * self.radius)
 
-    def box_squares(self, dx: Column, dy: Column, cos_lat: Column) -> Column:
-        """Squared distance for given differences; ``cos_lat`` plays no part."""
-        return dx * dx + dy * dy
-
     @property
     def reach_lat(self) -> float:
         return self.radius
@@ -57,11 +53,6 @@ class Metres:
     def within(self, lon: Column, lat: Column, other_lon: Column, other_lat: Column) -> Column:
         return equirectangular_m(lon, lat, other_lon, other_lat) <= F.lit(float(self.radius))
 
-    def box_squares(self, dx: Column, dy: Column, cos_lat: Column) -> Column:
-        """Squared distance for given differences at a latitude's cosine."""
-        x, y = dx * vocab.METRES_PER_DEGREE_LON * cos_lat, dy * vocab.METRES_PER_DEGREE_LAT
-        return x * x + y * y
-
     @property
     def reach_lat(self) -> float:
         return self.radius / vocab.METRES_PER_DEGREE_LAT
@@ -71,18 +62,18 @@ class Metres:
 
 
 class SearchGrid:
-    """Cells so small that two points of one cell are always within the radius.
+    """Square cells whose side is a share of the radius.
 
-    Rows have equal height; the cell width follows the latitude of the row, so the property holds, with as
-    few cells to search as possible, from the equator to the poles.
+    Rows have equal height; the cell width follows the latitude of the row, so there are as few cells to search as
+    possible from the equator to the poles. With a side of ``TOGETHER`` any two points of one cell are within the radius.
     """
 
-    _SHRINK = 0.999  # keeps rounding from breaking the same-cell guarantee
-    _GROW = 1.001    # keeps rounding from missing a cell at the rim
+    TOGETHER = 0.999 / math.sqrt(2)  # a little less than the half diagonal, so that rounding cannot break the promise
+    _GROW = 1.001                    # keeps rounding from missing a cell at the rim
 
-    def __init__(self, metric: Degrees | Metres):
-        self.metric = metric
-        self.height = metric.reach_lat / math.sqrt(2) * self._SHRINK
+    def __init__(self, metric: Degrees | Metres, side: float):
+        self.metric, self.side = metric, side
+        self.height = metric.reach_lat * side
         self.reach = metric.reach_lat * self._GROW
 
     def _edge_cos(self, row: Column) -> tuple[Column, Column]:
@@ -96,16 +87,7 @@ class SearchGrid:
 
     def column(self, lon: Column, row: Column) -> Column:
         widest_cos, _ = self._edge_cos(row)
-        return F.floor(lon / self.metric.lon_span(self.metric.radius / math.sqrt(2) * self._SHRINK, widest_cos))
-
-    def fine_row(self, lat: Column, parts: int) -> Column:
-        return F.floor(lat / F.lit(self.height / parts))
-
-    def fine_column(self, lon: Column, row: Column, parts: int) -> Column:
-        """Column of the given row of cells when each cell is divided."""
-        widest_cos, _ = self._edge_cos(row)
-        width = self.metric.radius / math.sqrt(2) * self._SHRINK / parts
-        return F.floor(lon / self.metric.lon_span(width, widest_cos))
+        return F.floor(lon / self.metric.lon_span(self.metric.radius * self.side, widest_cos))
 
     def rows_near(self, lat: Column) -> Column:
         return F.sequence(self.row(lat - F.lit(self.reach)), self.row(lat + F.lit(self.reach)))
@@ -118,8 +100,8 @@ class SearchGrid:
 
 def is_point(lon: Column, lat: Column) -> Column:
     """Both coordinates present and finite; never NULL."""
-    limit = F.lit(1e6)  # also false for NaN, which sorts above every number
-    return F.coalesce(F.abs(lon) < limit, F.lit(False)) & F.coalesce(F.abs(lat) < limit, F.lit(False))
+    finite = lambda c: F.coalesce(F.abs(c) < F.lit(math.inf), F.lit(False))  # noqa: E731  NaN sorts above infinity
+    return finite(lon) & finite(lat)
 
 
 def tile_x(lon: Column, zoom: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill import vocab
@@ -22,6 +22,19 @@ def geojson_features(places: DataFrame) -> DataFrame:
     return located.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("feature"))
 
 
+def two_decimals(value: Column) -> Column:
+    """A number with two decimals, rounded by its exact binary value; of two equally near texts the larger one.
+
+    The number is split in two halves whose products with 100 are exact, so the distance to the midpoint is, too.
+    """
+    wide = value * F.lit(float((1 << 27) + 1))
+    high = wide - (wide - value)
+    low = value - high
+    below = F.floor(value * 100)
+    over = (high * 100 - (below + F.lit(0.5))) + low * 100
+    return F.when(value.isNotNull(), F.format_string("%.2f", F.when(over >= 0, below + 1).otherwise(below) / F.lit(100.0)))
+
+
 def in_bucket(rows: DataFrame, cat: str) -> DataFrame:
     """The interactive selection: 'all' keeps everything."""
     return rows if cat == "all" else rows.where(F.col("cat") == cat)
@@ -34,5 +47,5 @@ def place_cards(places: DataFrame, cat: str = "all", no_name: str = vocab.NO_NAM
         "id", "cat",
         F.coalesce(F.nullif(F.col("name"), F.lit("")), F.lit(no_name)).alias("title"),
         F.coalesce(F.nullif(F.col("category"), F.lit("")), F.col("cat")).alias("category"),
-        F.when(F.col("confidence").isNotNull(), F.format_string("%.2f", "confidence")).alias("confidence"),
+        two_decimals(F.col("confidence")).alias("confidence"),
     )

@@ -13,24 +13,21 @@ from placemill.session import stable
 def number_rows(df: DataFrame, id_col: str, order_by: Sequence[str] = ()) -> DataFrame:
     """Prepend ids 1..n. With ``order_by`` they follow that order (ascending, NULLs first), else any order.
 
-    Rows are range-partitioned, sorted inside partitions and written to the shared folder with partition number
-    and position; ids are the position plus the sizes of the partitions before it. The sizes are counted from
-    that one small column.
-
-    The sort key ends with a row tag, so equal rows, however many, spread over partitions instead of meeting
-    in one. Tags are given to rows of a written table: a repeated task gives the same tags again.
+    Equal rows are folded to one with their count before anything moves, so they cannot crowd a range. What is left is
+    range-partitioned by the order and the other columns, sorted inside partitions and written once to the shared
+    folder with partition number and position; ids are running sums of the counts. Each row is then repeated.
     """
     columns = df.columns
+    folded = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_copies"))
     if order_by:
-        keys = [*order_by, "_tag"]
-        tagged = stable(df, "unnumbered").withColumn("_tag", F.monotonically_increasing_id())
-        df = tagged.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tag")
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = stable(df.withColumns({"_part": F.spark_partition_id(), "_pos": position}), "placed")
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+        keys = [*order_by, *[c for c in columns if c not in order_by]]
+        folded = folded.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = stable(folded.withColumns({"_part": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()}), "placed")
+    sizes = placed.groupBy("_part").agg(F.sum("_copies").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition written: window and broadcast are bounded by the number of partitions
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    # one row per partition written: the broadcast is bounded by the number of partitions
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + F.col("_pos") + 1).alias(id_col), *columns
-    )
+    within = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_offset") + F.coalesce(F.sum("_copies").over(within), F.lit(0)) + 1
+    return placed.join(F.broadcast(offsets), "_part").withColumn("_first", first).select(
+        F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1)).alias(id_col), *columns)

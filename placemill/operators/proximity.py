@@ -1,18 +1,13 @@
-"""Existence of a near neighbour: the semi and anti forms of a distance join.
-
-The question is only *whether* a partner lies within the radius, so no pair is ever produced:
-
-* The grid is so fine that any two points of one cell are within the radius. A cell that holds a partner is
-  therefore described by a single row, however many partners lie in it.
-* A partner is copied to the cells around its own, where it may reach some points but not all. Among the
-  copies sent to a cell from its left with one and the same latitude only the rightmost can matter, as it is
-  nearer to every point of the cell than the others; likewise for the other three sides. An aggregate with
-  map-side combine keeps just these, so a crowded spot reaches its neighbours as one thin outline.
-* The remaining join is a semi/anti join on the cell with the distance as residual: it stops at the first
-  hit. A crowded cell on the probing side is split by adaptive execution, which may split the left side of
-  semi and anti joins.
-* If a cell still has more than a few thousand candidates, it is divided: boxes of fine cells decide most rows
-  at once, and points are compared only where a box straddles the radius.
+"""Existence of a near neighbour: the semi and anti forms of a distance join, as one lazy plan.
+
+1. Rows without usable coordinates have no neighbour; they stay out of the joins.
+2. On a grid so fine that any two points of a cell are within the radius, a cell that holds a partner is one row, however
+   many partners lie in it. A semi join with these cells settles most hits.
+3. For the rest, on cells as large as the radius, distinct partner coordinates are copied to their own cell and the eight
+   around it, but only to cells that hold a row still in question. The last join is on the cell with the distance as
+   residual and stops at the first hit.
+
+A crowded cell on the probing side is split by adaptive execution, which may split the left side of semi and anti joins.
 """
 
 from __future__ import annotations
@@ -23,141 +18,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill.functions.geo import Degrees, Metres, SearchGrid, is_point
-from placemill.session import stable
-
-MAX_CELL_PARTNERS = 2000  # candidates per search cell beyond which the cell is divided
-FINE_PARTS = 32           # fine cells per search cell and axis
-
-_LEFT, _RIGHT, _BELOW, _ABOVE, _INSIDE = range(5)
-
-
-def _outline(partners: DataFrame, grid: SearchGrid, keys: Sequence[str], lon: Column, lat: Column) -> DataFrame:
-    """Per search cell: one row if a partner lies in it, else the partners that can matter from around."""
-    copies = (
-        partners.where(is_point(lon, lat))
-        .select(*[F.col(k).alias(f"k_{k}") for k in keys], lon.alias("plon"), lat.alias("plat"))
-        .withColumn("cell_y", F.explode(grid.rows_near(F.col("plat"))))
-        .withColumn("cell_x", F.explode(grid.columns_near(F.col("plon"), F.col("cell_y"))))
-    )
-    x_shift = grid.column(F.col("plon"), F.col("cell_y")) - F.col("cell_x")
-    y_shift = grid.row(F.col("plat")) - F.col("cell_y")
-    copies = copies.withColumn(
-        "side",
-        F.when(x_shift < 0, _LEFT).when(x_shift > 0, _RIGHT)
-        .when(y_shift < 0, _BELOW).when(y_shift > 0, _ABOVE).otherwise(_INSIDE),
-    )
-    sideways, inside = F.col("side").isin(_LEFT, _RIGHT), F.col("side") == _INSIDE
-    sign = F.when(F.col("side").isin(_LEFT, _BELOW), F.lit(1.0)).otherwise(F.lit(-1.0))
-    fixed = F.when(inside, F.lit(0.0)).when(sideways, F.col("plat")).otherwise(F.col("plon"))
-    moving = F.when(inside, F.lit(0.0)).when(sideways, F.col("plon")).otherwise(F.col("plat"))
-    cell = [*[f"k_{k}" for k in keys], "cell_x", "cell_y"]
-    nearest = (
-        copies.select(*cell, "side", fixed.alias("fixed"), (sign * moving).alias("signed"))
-        .groupBy(*cell, "side", "fixed").agg(F.max("signed").alias("signed"))
-    )
-    value = sign * F.col("signed")
-    return nearest.select(
-        *cell,
-        inside.alias("certain"),
-        F.when(sideways, value).otherwise(F.col("fixed")).alias("p_lon"),
-        F.when(sideways, F.col("fixed")).otherwise(value).alias("p_lat"),
-    )
-
-
-def _box(rows: DataFrame, keys: Sequence[str], lon: str, lat: str, tag: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(*[
-        f(c).alias(f"{tag}_{name}") for c, axis in ((lon, "x"), (lat, "y"))
-        for f, name in ((F.min, f"{axis}0"), (F.max, f"{axis}1"))
-    ])
-
 
-def _between_boxes(metric: Degrees | Metres) -> tuple[Column, Column]:
-    """Whether any, and whether every, pair of points of a probe box ``g`` and a partner box ``p`` can be near."""
-    def gap(axis):
-        return F.greatest(F.lit(0.0), F.col(f"p_{axis}0") - F.col(f"g_{axis}1"), F.col(f"g_{axis}0") - F.col(f"p_{axis}1"))
 
-    def span(axis):
-        return F.greatest(F.col(f"p_{axis}1") - F.col(f"g_{axis}0"), F.col(f"g_{axis}1") - F.col(f"p_{axis}0"))
+def _matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, also: Column | None = None) -> DataFrame:
+    """Left rows with (or without) a right row of equal keys; right columns are told apart by a prefix."""
+    right = right.withColumnsRenamed({k: f"r{k}" for k in keys})
+    condition = F.lit(True) if also is None else also
+    for k in keys:
+        condition = (F.col(k) == F.col(f"r{k}")) & condition
+    return left.join(right, condition, how)
 
-    low, high = F.abs(F.col("g_y0")), F.abs(F.col("g_y1"))
-    nearest_equator = F.when(F.signum("g_y0") != F.signum("g_y1"), F.lit(0.0)).otherwise(F.least(low, high))
-    slack = 1e-9  # relative room for rounding; what falls into it is tested point by point
-    square = metric.radius * metric.radius
-    some = metric.box_squares(gap("x"), gap("y"), F.cos(F.radians(F.greatest(low, high)))) <= F.lit(square * (1 + slack))
-    every = metric.box_squares(span("x"), span("y"), F.cos(F.radians(nearest_equator))) <= F.lit(square * (1 - slack))
-    return some, every
 
+def _cells(rows: DataFrame, keys: Sequence[str], *point: str) -> DataFrame:
+    """The cells in use, each a few times over. The slice keeps this aggregate from being partitioned by the join keys: then
+    the join has exchanges of its own on both sides, and adaptive execution may split its crowded partitions."""
+    return rows.select(*keys, F.pmod(F.xxhash64(*point), F.lit(4)).alias("_slice")).distinct().drop("_slice")
 
-def _refined(probe: DataFrame, outline: DataFrame, grid: SearchGrid, cell: Sequence[str], lon: str, lat: str) -> DataFrame:
-    """Candidates of crowded cells per fine cell of the probing rows.
 
-    Bounding boxes of fine cells settle most of it: where every pair is near, the fine cell is one certain row;
-    where none can be, nothing is kept. Points are compared only along the thin seam in between.
-    """
-    fine_p = {"px": grid.fine_column(F.col("p_lon"), F.col("cell_y"), FINE_PARTS), "py": grid.fine_row(F.col("p_lat"), FINE_PARTS)}
-    points = outline.withColumns(fine_p)
-    partner_boxes = _box(points, [*cell, "px", "py"], "p_lon", "p_lat", "p")
-    probe_boxes = _box(probe, [*cell, "_fx", "_fy"], lon, lat, "g")
-    some, every = _between_boxes(grid.metric)
-    pairs = probe_boxes.join(partner_boxes, list(cell)).where(some).select(
-        *cell, "_fx", "_fy", "px", "py", every.alias("certain"))
-    fine = [*cell, "_fx", "_fy"]
-    certain = pairs.where("certain").select(*fine, "certain").distinct()
-    seam = pairs.join(certain, fine, "left_anti").drop("certain").join(
-        points.drop("certain"), [*cell, "px", "py"]).select(*fine, F.lit(False).alias("certain"), "p_lon", "p_lat")
-    nowhere = F.lit(None).cast("double")
-    return certain.select(*fine, "certain", nowhere.alias("p_lon"), nowhere.alias("p_lat")).unionByName(seam)
-
-
-def _crowded(outline: DataFrame, cell: Sequence[str], limit: int) -> DataFrame:
-    """Cells with many candidates and no partner of their own."""
-    return outline.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.max("certain").alias("certain")).where(
-        (F.col("n") > limit) & ~F.col("certain")).select(*cell)
+def candidate_copies(spots: DataFrame, wanted: DataFrame, wide: SearchGrid, keys: Sequence[str]) -> DataFrame:
+    """Each partner spot once per wanted cell it may reach."""
+    copies = (
+        spots.withColumn("_wy", F.explode(wide.rows_near(F.col("_plat"))))
+        .withColumn("_wx", F.explode(wide.columns_near(F.col("_plon"), F.col("_wy"))))
+    )
+    return _matched(copies, wanted, [*keys, "_wx", "_wy"], "left_semi")
 
 
 def _near_join(how: str, rows: DataFrame, partners: DataFrame, metric: Degrees | Metres, on: Sequence[str],
-               lon: str, lat: str, max_cell_partners: int) -> DataFrame:
-    grid = SearchGrid(metric)
-    valid = is_point(F.col(lon), F.col(lat))
-    row = grid.row(F.col(lat))
-    outline = _outline(partners, grid, on, F.col(lon), F.col(lat))
-    cell = [*[f"k_{k}" for k in on], "cell_x", "cell_y"]
-    cell_of = {**{f"k_{k}": F.col(k) for k in on},
-               "cell_x": F.when(valid, grid.column(F.col(lon), row)), "cell_y": F.when(valid, row)}
-    near = F.col("certain") | metric.within(F.col(lon), F.col(lat), F.col("p_lon"), F.col("p_lat"))
-
-    def join(probe, candidates, keys, kind):
-        right = candidates.withColumnsRenamed({k: f"r_{k}" for k in keys})
-        condition = near
-        for k in keys:
-            condition = condition & (F.col(k) == F.col(f"r_{k}"))
-        return probe.join(right, condition, kind)
-
-    probe = rows.withColumns(cell_of)
-    if _crowded(outline, cell, max_cell_partners).isEmpty():
-        return join(probe, outline, cell, how).select(*rows.columns)
-
-    outline = stable(outline, "outline")
-    crowded = _crowded(outline, cell, max_cell_partners)
-    plain = outline.join(crowded, cell, "left_anti")
-    fine_of = {"_fx": grid.fine_column(F.col(lon), F.col("cell_y"), FINE_PARTS), "_fy": F.when(valid, grid.fine_row(F.col(lat), FINE_PARTS))}
-    fine_probe = probe.withColumns(fine_of)
-    refined = _refined(fine_probe.join(crowded, cell, "left_semi"), outline.join(crowded, cell, "left_semi"), grid, cell, lon, lat)
-    fine = [*cell, "_fx", "_fy"]
-    if how == "left_anti":
-        return join(join(fine_probe, plain, cell, how), refined, fine, how).select(*rows.columns)
-    return join(probe, plain, cell, how).select(*rows.columns).unionByName(
-        join(fine_probe, refined, fine, how).select(*rows.columns))
+               lon: str, lat: str) -> DataFrame:
+    fine, wide = SearchGrid(metric, SearchGrid.TOGETHER), SearchGrid(metric, 1.0)
+    x, y = F.col(lon), F.col(lat)
+    keys = [f"_k{i}" for i in range(len(on))]
+    key_of = {k: F.col(c) for k, c in zip(keys, on, strict=True)}
+    usable = is_point(x, y)
+    spots = partners.where(usable).select(*[c.alias(k) for k, c in key_of.items()], x.alias("_plon"), y.alias("_plat")).distinct()
+    fine_cell = lambda px, py: {"_fy": fine.row(py), "_fx": fine.column(px, fine.row(py))}
+    held = _cells(spots.withColumns(fine_cell(F.col("_plon"), F.col("_plat"))), [*keys, "_fx", "_fy"], "_plon", "_plat")
+
+    placed = rows.where(usable).withColumns({**key_of, **fine_cell(x, y), "_wy": wide.row(y), "_wx": wide.column(x, wide.row(y))})
+    own = [*keys, "_fx", "_fy"]
+    rest = _matched(placed, held, own, "left_anti")
+    wanted = _cells(rest, [*keys, "_wx", "_wy"], lon, lat)
+    copies = candidate_copies(spots, wanted, wide, keys)
+    decided = _matched(rest, copies, [*keys, "_wx", "_wy"], how, metric.within(x, y, F.col("_plon"), F.col("_plat")))
+    other = rows.where(~usable) if how == "left_anti" else _matched(placed, held, own, "left_semi")
+    return decided.select(*rows.columns).unionByName(other.select(*rows.columns))
 
 
 def having_neighbour(rows: DataFrame, partners: DataFrame, metric: Degrees | Metres, on: Sequence[str] = (),
-                     lon: str = "lon", lat: str = "lat", max_cell_partners: int = MAX_CELL_PARTNERS) -> DataFrame:
+                     lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Rows with a partner of equal ``on`` columns within the radius (inclusive). Distances are scaled at the
     row's latitude. Rows without usable coordinates have no neighbour."""
-    return _near_join("left_semi", rows, partners, metric, on, lon, lat, max_cell_partners)
+    return _near_join("left_semi", rows, partners, metric, on, lon, lat)
 
 
 def without_neighbour(rows: DataFrame, partners: DataFrame, metric: Degrees | Metres, on: Sequence[str] = (),
-                      lon: str = "lon", lat: str = "lat", max_cell_partners: int = MAX_CELL_PARTNERS) -> DataFrame:
+                      lon: str = "lon", lat: str = "lat") -> DataFrame:
     """The complement of :func:`having_neighbour`; rows without usable coordinates are kept."""
-    return _near_join("left_anti", rows, partners, metric, on, lon, lat, max_cell_partners)
+    return _near_join("left_anti", rows, partners, metric, on, lon, lat)

@@ -32,16 +32,13 @@ def tile_pyramid(points: DataFrame, max_zoom: int = MAX_ZOOM, cat: str = "cat")
 
 
 def _top(rows: DataFrame, keys: list[str], per_tile: int, order: list[Column], split: int = 64) -> DataFrame:
-    """The best rows of each key. For small limits every task drops what is not among the best of its own rows
-    before the shuffle, which Spark plans by itself; beyond its threshold slices of each key are ranked first."""
+    """The best rows of each key. Slices of each key are ranked first, so that a crowded tile is no single task."""
     def ranked(df, by):
         window = Window.partitionBy(*by).orderBy(*order)
         return df.withColumn("tile_rank", F.row_number().over(window)).where(F.col("tile_rank") <= per_tile)
 
-    if per_tile > int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        sliced = rows.withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(split)))
-        rows = ranked(sliced, [*keys, "_slice"]).drop("_slice")
-    return ranked(rows, keys)
+    sliced = rows.withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(split)))
+    return ranked(ranked(sliced, [*keys, "_slice"]).drop("_slice"), keys)
 
 
 def thin_tiles(points: DataFrame, per_tile: int, order: list[Column], max_zoom: int = MAX_ZOOM) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+from functools import reduce
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -20,13 +21,13 @@ def near(metric, a, b):
                      + ((b[1] - a[1]) * 110540.0) ** 2) <= metric.radius
 
 
-def check(spark, metric, left, right, on=(), **limits):
+def check(spark, metric, left, right, on=()):
     rows = spark.createDataFrame([(i, k, *p) for i, (k, p) in enumerate(left)], "id int, k string, lon double, lat double")
     partners = spark.createDataFrame([(k, *p) for k, p in right], "k string, lon double, lat double")
     want = {i for i, (k, p) in enumerate(left)
             if any((not on or (k is not None and k == kr)) and near(metric, p, q) for kr, q in right)}
-    got = [r.id for r in having_neighbour(rows, partners, metric, on, **limits).collect()]
-    rest = [r.id for r in without_neighbour(rows, partners, metric, on, **limits).collect()]
+    got = [r.id for r in having_neighbour(rows, partners, metric, on).collect()]
+    rest = [r.id for r in without_neighbour(rows, partners, metric, on).collect()]
     assert sorted(got) == sorted(want)
     assert sorted(rest) == sorted(set(range(len(left))) - want)
 
@@ -46,15 +47,17 @@ def test_equals_brute_force(spark, metric, spread, lon, lat):
     check(spark, metric, left, right)
 
 
-@pytest.mark.parametrize("metric,spread,lon,lat", [
-    (Metres(50.0), 0.002, 135.0, 35.0), (Metres(50.0), 0.002, 0.0, 0.0), (Degrees(0.0011), 0.004, -70.0, -33.0)])
-def test_divided_cells_equal_brute_force(spark, metric, spread, lon, lat):
-    rng = random.Random(f"{metric}{lon}{lat}")
-    left, right = cloud(rng, 300, lon, lat, spread), cloud(rng, 120, lon, lat, spread)
-    right += [("a", (lon + rng.uniform(0, 1e-4), lat + rng.uniform(0, 1e-4))) for _ in range(200)]
-    left += [(None, (None, 1.0)), ("a", (float("nan"), 1.0)), ("a", (lon, lat))]
-    check(spark, metric, left, right, ("k",), max_cell_partners=3)
-    check(spark, metric, left, right, max_cell_partners=0)
+@pytest.mark.parametrize("metric", [Metres(50.0), Degrees(0.0011)])
+def test_crowded_cell_of_continuous_coordinates(spark, metric):
+    rng = random.Random(str(metric))
+    left = cloud(rng, 300, 135.0, 35.0, 0.003) + [(None, (None, 1.0)), ("a", (float("nan"), 1.0)), ("a", (135.0, 35.0))]
+    right = cloud(rng, 100, 135.0, 35.0, 0.003) + [("a", (135.0 + rng.uniform(0, 1e-4), 35.0 + rng.uniform(0, 1e-4))) for _ in range(2000)]
+    check(spark, metric, left, right, ("k",))
+
+
+def test_planar_coordinates_beyond_a_million(spark):
+    far = [("a", (2e6, 2e6)), ("a", (-3e9, 5e7)), ("a", (float("inf"), 0.0))]
+    check(spark, Degrees(10.0), far, [("a", (2e6 + 6, 2e6 + 8)), ("a", (-3e9, 5e7 + 11)), ("a", (float("inf"), 0.0))])
 
 
 def test_near_the_pole(spark):
@@ -96,19 +99,35 @@ def test_distance_is_scaled_at_the_row_not_the_partner(spark):
         assert out.count() == int(near(Metres(51.2), p, q))
 
 
-def test_crowded_spot_reaches_its_surroundings_as_an_outline(spark):
-    """A third of all partners in one cell: what is sent to each cell around is bounded by distinct latitudes."""
+def test_partners_are_copied_to_nine_cells_at_most(spark):
+    """On random doubles, and only to cells that hold a probing row."""
     from placemill.functions.geo import SearchGrid
-    from placemill.operators.proximity import _outline
+    from placemill.operators.proximity import candidate_copies
 
     rng = random.Random(3)
-    crowd = [(135.0 + rng.randrange(30) * 1e-6, 35.0 + rng.randrange(30) * 1e-6) for _ in range(4000)]
-    partners = spark.createDataFrame(crowd, "lon double, lat double")
-    outline = _outline(partners, SearchGrid(Metres(50.0)), [], F.col("lon"), F.col("lat"))
-    per_cell = outline.groupBy("cell_x", "cell_y").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    assert per_cell <= 120
-    left = [("a", p) for p in crowd[:50]] + cloud(rng, 200, 135.0, 35.0, 0.001, ("a",))
-    check(spark, Metres(50.0), left, [("a", p) for p in crowd])
+    spots = spark.createDataFrame([(135 + rng.uniform(0, 0.02), 35 + rng.uniform(0, 0.02)) for _ in range(3000)], "_plon double, _plat double")
+    wide = SearchGrid(Metres(50.0), 1.0)
+    row = wide.row(F.col("_plat"))
+    cells = spots.select(row.alias("_wy"), wide.column(F.col("_plon"), row).alias("_wx"))
+    around = [cells.select((F.col("_wy") + dy).alias("_wy"), (F.col("_wx") + dx).alias("_wx")) for dx in range(-3, 4) for dy in range(-3, 4)]
+    every = reduce(lambda a, b: a.unionByName(b), around).distinct()
+    assert candidate_copies(spots, every, wide, []).count() <= 9.2 * 3000  # a spot may touch the rim of one cell more
+    few = cells.where("_wx % 7 = 0").distinct()
+    assert candidate_copies(spots, few, wide, []).count() < 9.2 * 3000 / 4
+
+
+def test_no_job_before_the_action(spark):
+    from placemill.plans.master import candidates
+    from placemill_checks import frames
+
+    sf = "/root/testdata/sf0.001"
+    places, tagged = frames.places(spark, sf), frames.community(spark, sf)
+    spark.sparkContext.setJobGroup("planning", "planning")
+    rows = candidates(places, tagged)
+    having_neighbour(rows, rows, Metres(50.0))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
 
 
 def test_plan_has_no_nested_loop(spark, no_broadcast):
@@ -119,15 +138,15 @@ def test_plan_has_no_nested_loop(spark, no_broadcast):
 
 
 def test_crowded_probe_cell_is_split(spark, no_broadcast):
-    """A third of the probing rows in one cell: adaptive execution divides that partition."""
+    """Most of the probing rows in one cell: adaptive execution divides that partition."""
     settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.adaptive.coalescePartitions.enabled": "false",
                 "spark.sql.shuffle.partitions": "16"}
     for k, v in settings.items():
         spark.conf.set(k, v)
     i = F.col("id")
-    rows = spark.range(0, 60000, 1, 6).select("id", F.when(i % 3 == 0, 135.0).otherwise(130.0 + i * 0.0001).alias("lon"),
-                                              F.when(i % 3 == 0, 35.0).otherwise(30.0 + i * 0.0001).alias("lat"))
+    rows = spark.range(0, 60000, 1, 6).select("id", F.when(i % 10 > 0, 135.0 + i * 1e-12).otherwise(130.0 + i * 0.0001).alias("lon"),
+                                              F.when(i % 10 > 0, 35.0).otherwise(30.0 + i * 0.0001).alias("lat"))
     partners = spark.range(0, 3000, 1, 2).select((130.0 + i * 0.002).alias("lon"), (30.0 + i * 0.002).alias("lat"))
     try:
         for join in (having_neighbour, without_neighbour):
