@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from placemill import vocab
 from placemill.functions.text import strip
 
+# fixed values: the date shapes in use
 _ISO = r"^([0-9]{4})[/\-.]([0-9]{1,2})[/\-.]([0-9]{1,2})\n?\z"
 _ERA = r"^([MTSHR明大昭平令][^0-9]*)([0-9]{1,2})[/\-.年]([0-9]{1,2})[/\-.月]([0-9]{1,2})日?\n?\z"
 _SERIAL = r"^[0-9]{4,5}\z"

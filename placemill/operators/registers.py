@@ -21,12 +21,12 @@ ORDER = ("source_rank", "row_pos")
 
 
 def _finish(values: dict[str, Column], rows: DataFrame, source_id: Column, rank: Column, source_name: Column,
-            license_: Column, dates: Sequence[str] = DATE_COLUMNS) -> DataFrame:
+            license_: Column, dates: Sequence[str] = DATE_COLUMNS, extra: Sequence[str] = ()) -> DataFrame:
     """What follows mapping, address and constants, in this order: city fallback, dates, level, provenance,
     blank rows out. ``dates`` are the date columns that can hold anything."""
     mapped = rows.select(
         *[values[c].alias(c) for c in _MAPPED], source_name.alias("sources"), license_.alias("licenses"),
-        source_id.alias("srcid"), rank.alias("source_rank"), "row_pos",
+        source_id.alias("srcid"), rank.alias("source_rank"), "row_pos", *extra,
     )
     located = is_filled(F.col("lat")) & is_filled(F.col("lng"))
     return (
@@ -36,7 +36,7 @@ def _finish(values: dict[str, Column], rows: DataFrame, source_id: Column, rank:
             "geocoding_level": F.when(located, "source").otherwise(""),
             **{c: normalize_date(F.col(c)) for c in dates},
         })
-        .select(*vocab.REGISTER_COLUMNS, "srcid", *ORDER)
+        .select(*vocab.REGISTER_COLUMNS, "srcid", *ORDER, *extra)
     )
 
 
@@ -64,8 +64,8 @@ def _settings(spark, specs: Sequence[SourceSpec]) -> DataFrame:
     return F.broadcast(registry_frame(spark, specs))
 
 
-def normalize_records(records: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
-    """Records of any number of registers, each by its own registry entry."""
+def normalize_records(records: DataFrame, specs: Sequence[SourceSpec], extra: Sequence[str] = ()) -> DataFrame:
+    """Records of any number of registers, each by its own registry entry; columns named in ``extra`` come along."""
     config = _settings(records.sparkSession, specs)
     rows = records.join(config.drop("pref", "muni", "route", "format", "path", "url", "encoding"), "source_id")
 
@@ -80,12 +80,13 @@ def normalize_records(records: DataFrame, specs: Sequence[SourceSpec]) -> DataFr
         c: F.coalesce(F.try_element_at("const", F.lit(c)), address if c == "address" else mapped(c))
         for c in _MAPPED
     }
-    return _finish(values, rows, F.col("source_id"), F.col("source_rank"), F.col("source_name"), F.col("license"))
+    return _finish(values, rows, F.col("source_id"), F.col("source_rank"), F.col("source_name"), F.col("license"), extra=extra)
 
 
 def missing_columns(records: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
     """Mapped columns a register's files lack: (source_id, target, column)."""
-    titles = records.groupBy("source_id").agg(F.first(F.map_keys("record")).alias("titles"))
+    titles = records.select("source_id", F.explode(F.map_keys("record")).alias("title")).groupBy("source_id").agg(
+        F.collect_set("title").alias("titles"))
     wanted = _settings(records.sparkSession, specs).select("source_id", F.explode("colmap").alias("target", "column"))
     return titles.join(wanted, "source_id").where(~F.array_contains("titles", F.col("column"))).drop("titles")
 

@@ -84,12 +84,9 @@ def master_counts(master: DataFrame) -> DataFrame:
     )
 
 
-def row_accounting(cand: DataFrame, located: DataFrame) -> DataFrame:
-    """Candidates, rows in a region, and the difference; one aggregate over tagged rows of both."""
-    tagged = cand.select(F.lit(1).alias("c"), F.lit(0).alias("m")).unionByName(
-        located.select(F.lit(0).alias("c"), F.lit(1).alias("m")))
-    sums = tagged.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n_candidates"),
-                      F.coalesce(F.sum("m"), F.lit(0)).alias("n_master"))
+def row_accounting(tallied: DataFrame) -> DataFrame:
+    """Candidates, rows in a region (a candidate in two counts twice), and the difference, from one pass of tallied rows."""
+    sums = tallied.agg(F.count_if(~F.col("hit")).alias("n_candidates"), F.count_if("hit").alias("n_master"))
     return sums.withColumn("n_dropped", F.col("n_candidates") - F.col("n_master"))
 
 

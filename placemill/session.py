@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,25 @@ def local_session(cpus: int | str = "*", app: str = "placemill", shuffle_partiti
     )
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all tables that operators have left below the shared folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{shared_dir(spark).rstrip('/')}/placemill-*")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in files.globStatus(pattern) or []:
+        files.delete(found.getPath(), True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers of a cluster on which it is not installed."""
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="spark-placemill-")) / "placemill.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted((root / "placemill").rglob("*.py")):
+            z.write(source, source.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

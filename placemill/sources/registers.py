@@ -22,24 +22,43 @@ from placemill.sources.xlsx import sheet_rows
 CHUNK_ROWS = 5000
 
 
+_MARKS = ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"),
+          (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16"))
+
+
+def _strictly(content: bytes, encoding: str) -> str | None:
+    try:
+        return content.decode(encoding)
+    except UnicodeDecodeError:
+        return None
+
+
 def decode_text(content: bytes, encoding: str | None) -> str:
-    """Declared encoding, else byte-order mark, else strict UTF-8, else cp932; bad bytes are replaced."""
-    if encoding is None:
-        if content.startswith(codecs.BOM_UTF8):
-            encoding = "utf-8-sig"
-        else:
-            try:
-                return content.decode("utf-8")
-            except UnicodeDecodeError:
-                encoding = "cp932"
-    return content.decode(encoding, errors="replace")
-
-
-def _csv_chunks(content: bytes, encoding: str | None, header_row: int):
+    """Declared encoding with bad bytes replaced; else the byte-order mark; else strict UTF-8; else whichever of cp932 and
+    EUC-JP reads the bytes with fewer half-width kana, which is how one looks when read as the other."""
+    if encoding is not None:
+        return content.decode(encoding, errors="replace")
+    for mark, named in _MARKS:
+        if content.startswith(mark):
+            return content.decode(named)
+    text = _strictly(content, "utf-8")
+    if text is not None:
+        return text
+    readings = [t for t in (_strictly(content, "cp932"), _strictly(content, "euc_jp")) if t is not None]
+    if not readings:
+        raise ValueError("text in no known encoding: declare one in the registry")
+    return min(readings, key=lambda t: sum("\uff61" <= c <= "\uff9f" for c in t))
+
+
+def _csv_chunks(content: bytes, encoding: str | None, header_row: int, source_id: str):
     import pandas as pd
 
+    try:
+        text = decode_text(content, encoding)
+    except (ValueError, LookupError) as e:
+        raise ValueError(f"{source_id}: {e}") from e
     reader = pd.read_csv(
-        io.StringIO(decode_text(content, encoding)), header=header_row, dtype=str, keep_default_na=False,
+        io.StringIO(text), header=header_row, dtype=str, keep_default_na=False,
         engine="python", chunksize=CHUNK_ROWS,
     )
     for frame in reader:
@@ -81,9 +100,10 @@ def _batch(source_id: str, start: int, columns: Sequence[str], rows: list[list[s
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for file in batch.to_pylist():
+        for i in range(batch.num_rows):
+            file = batch.slice(i, 1).to_pylist()[0]
             if file["format"] in CSV_FORMATS:
-                chunks = _csv_chunks(file["content"], file["encoding"], file["header_row"])
+                chunks = _csv_chunks(file["content"], file["encoding"], file["header_row"], file["source_id"])
             else:
                 chunks = _sheet_chunks(file["content"], file["header_row"], file["sheet"])
             start = 0
@@ -100,16 +120,21 @@ def decode_files(files: DataFrame) -> DataFrame:
 
 
 def with_file_settings(files: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
-    """Attach the registry settings to listed files by path. The registry is the caller's own list, so the
-    file contents stay where they are and the settings are broadcast."""
+    """Attach the registry settings to listed files by path; a file gets one row per entry that names it. The registry is
+    the caller's own list, so the file contents stay where they are and the settings are broadcast."""
     settings = registry_frame(files.sparkSession, specs).select(
         path_key(F.col("path")).alias("_key"), "source_id", "format", "encoding", "header_row", "sheet")
     return files.select(path_key(F.col("path")).alias("_key"), "content").join(F.broadcast(settings), "_key")
 
 
 def scan_registers(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
-    """Records of all registered files in one scan."""
-    files = spark.read.format("binaryFile").load([s.path for s in specs])
+    """Records of all registered files in one scan. A path that several entries name is read once; an entry without a file
+    is an error."""
+    files = spark.read.format("binaryFile").load(list(dict.fromkeys(s.path for s in specs)))
+    keys = registry_frame(spark, specs).select("source_id", path_key(F.col("path")).alias("_key"))
+    missing = keys.join(files.select(path_key(F.col("path")).alias("_key")), "_key", "left_anti").select("source_id").collect()
+    if missing:
+        raise FileNotFoundError(f"no file for {sorted(r['source_id'] for r in missing)}")
     return decode_files(with_file_settings(files, specs))
 
 

@@ -57,8 +57,8 @@ def registry_frame(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFram
 
 
 def path_key(path):
-    """A file path without scheme and host-independent slashes, to match listed files to the registry."""
-    return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?/*", "/")
+    """A file path without scheme and host, to match listed files to the registry."""
+    return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?)?/*", "/")
 
 
 # --- fixed values: shared column mapping of the national system, and the known registers -------
@@ -95,8 +95,7 @@ def known_registers(folder: str) -> list[SourceSpec]:
         SourceSpec(
             "minato", "東京都", "港区", "自身", "東京都港区 食品営業許可（オープンデータ）", "CC BY 4.0",
             "csv", f"{folder}/minato.csv",
-            "https://opendata.city.minato.tokyo.jp/dataset/54d8c582-00e2-4730-a23f-4a5befec9ae5/resource/"
-            "c9d0299e-8e05-4317-877f-83055709e41f/download/food_business_all.csv",
+            "https://opendata.city.minato.tokyo.jp/dataset/54d8c582-00e2-4730-a23f-4a5befec9ae5/resource/c9d0299e-8e05-4317-877f-83055709e41f/download/food_business_all.csv",
             "utf-8-sig",
             colmap={
                 "prefecture": "施設所在地_都道府県", "city": "施設所在地_市区町村", "city_raw": "地方公共団体名",

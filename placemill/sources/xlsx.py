@@ -57,10 +57,24 @@ def _column(reference: str) -> int:
     return n - 1
 
 
-def _text(cell: ET.Element, shared: list[str], dated: set[int]) -> str:
+def _plain(item: ET.Element) -> str:
+    """The text of a string item without its phonetic hints."""
+    phonetic = {id(t) for hint in item.iter(f"{_M}rPh") for t in hint.iter(f"{_M}t")}
+    return "".join(t.text or "" for t in item.iter(f"{_M}t") if id(t) not in phonetic)
+
+
+def _epoch(book: zipfile.ZipFile) -> datetime:
+    properties = ET.fromstring(book.read("xl/workbook.xml")).find(f"{_M}workbookPr")
+    since_1904 = properties is not None and properties.get("date1904") in ("1", "true")
+    return datetime(1904, 1, 1) if since_1904 else datetime(1899, 12, 30)
+
+
+def _text(cell: ET.Element, shared: list[str], dated: set[int], epoch: datetime) -> str:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(f"{_M}t"))
+        return _plain(cell)
+    if kind == "e":
+        return ""
     node = cell.find(f"{_M}v")
     raw = node.text if node is not None and node.text is not None else ""
     if kind == "s":
@@ -71,7 +85,7 @@ def _text(cell: ET.Element, shared: list[str], dated: set[int]) -> str:
         return raw
     number = float(raw)
     if int(cell.get("s", -1)) in dated:
-        moment = datetime(1899, 12, 30) + timedelta(seconds=round(number * 86400))
+        moment = epoch + timedelta(seconds=round(number * 86400))
         return moment.strftime("%Y-%m-%d %H:%M:%S")
     return str(int(number)) if number.is_integer() else repr(number)
 
@@ -81,10 +95,8 @@ def sheet_rows(content: bytes, sheet: int | str) -> Iterator[list[str]]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
-            for item in ET.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_M}si"):
-                phonetic = {id(t) for hint in item.iter(f"{_M}rPh") for t in hint.iter(f"{_M}t")}
-                shared.append("".join(t.text or "" for t in item.iter(f"{_M}t") if id(t) not in phonetic))
-        dated = _date_styles(book)
+            shared = [_plain(item) for item in ET.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_M}si")]
+        dated, epoch = _date_styles(book), _epoch(book)
         expected = 1
         with book.open(_sheet_file(book, sheet)) as stream:
             for _, row in ET.iterparse(stream):
@@ -98,7 +110,7 @@ def sheet_rows(content: bytes, sheet: int | str) -> Iterator[list[str]]:
                 for cell in row.iter(f"{_M}c"):
                     at = _column(cell.get("r")) if cell.get("r") else len(values)
                     values.extend([""] * (at - len(values)))
-                    text = _text(cell, shared, dated)
+                    text = _text(cell, shared, dated, epoch)
                     values.append("" if text in _MISSING else text)
                 yield values
                 row.clear()

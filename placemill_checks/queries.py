@@ -13,7 +13,7 @@ from placemill.functions.classify import chain_of, chain_or_other, is_branded
 from placemill.functions.dates import normalize_date
 from placemill.operators import branches, features, providers, registers, tiles
 from placemill.operators.extract import extract_places
-from placemill.operators.regions import assign_region, build_region_index
+from placemill.operators.regions import assign_region, build_region_index, tally_regions
 from placemill.plans import master as M
 from placemill.plans import reports
 from placemill.session import scratch_path
@@ -163,10 +163,8 @@ def assign_shop_area(spark, d):
     return assign_region(points, build_region_index(edges)).select("id", "pref")
 
 
-def _master_parts(spark, d):
-    places = deduped(spark, d)
-    cand = M.candidates(places, frames.community(spark, d))
-    return cand, M.locate(cand, frames.region_edges(spark))
+def _candidates(spark, d):
+    return M.candidates(deduped(spark, d), frames.community(spark, d))
 
 
 @query
@@ -176,12 +174,12 @@ def build_master(spark, d):
 
 @query
 def master_counts(spark, d):
-    return reports.master_counts(_master_parts(spark, d)[1])
+    return reports.master_counts(M.locate(_candidates(spark, d), frames.region_edges(spark)))
 
 
 @query
 def row_accounting(spark, d):
-    return reports.row_accounting(*_master_parts(spark, d))
+    return reports.row_accounting(tally_regions(_candidates(spark, d), build_region_index(frames.region_edges(spark))))
 
 
 # ---- registers ----------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from placemill import session
 from placemill.operators import branches, features, tiles
 from placemill.operators.numbering import number_rows
+from placemill.operators.regions import build_region_index, tally_regions
 from placemill.plans import master as M
 from placemill.plans import reports
 from placemill.sinks.features import write_geojson_lines
@@ -46,7 +47,7 @@ def test_master(inputs):
 def test_candidates_keep_rows_without_coordinates(inputs):
     names = [r.name for r in M.candidates(*inputs[:2]).collect()]
     assert sorted(names) == sorted(["S", "Out", "No place", "G far", "C", "D", "F", "o2", "o4"])
-    acc = reports.row_accounting(M.candidates(*inputs[:2]), M.locate(M.candidates(*inputs[:2]), inputs[2])).first()
+    acc = reports.row_accounting(tally_regions(M.candidates(*inputs[:2]), build_region_index(inputs[2]))).first()
     assert tuple(acc) == (9, 6, 3)
 
 
@@ -188,3 +189,27 @@ def test_thinning_equals_ranking_every_tile_as_a_whole(spark, threshold):
         want |= {(r.z, r.x, r.y, r.id, r.tile_rank) for r in ranked.where("tile_rank <= 5").collect()}
     spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert got == want
+
+
+def test_two_decimals_by_the_exact_value(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rng = random.Random(1)
+    values = [0.145, 1.005, 0.285, 0.125, 0.375, 0.0, 1.0, 0.995, None] + [rng.random() for _ in range(2000)] + [rng.randrange(1000) / 1000 for _ in range(500)]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", features.two_decimals(F.col("v")).alias("t")).collect()
+    want = {i: None if v is None else str(Decimal(v).quantize(Decimal("0.01"), ROUND_HALF_UP)) for i, v in enumerate(values)}
+    assert {r.i: r.t for r in got} == want
+
+
+def test_tsv_quotes(spark, tmp_path):
+    (tmp_path / "q.tsv").write_text('name\t@lon\t@lat\n"Bob ""X"" shop"\t1.5\tx\nplain\t"2"\t3\n')
+    got = scan_community_tsv(spark, str(tmp_path / "q.tsv"), all_text=False).collect()
+    assert [tuple(r) for r in got] == [('Bob "X" shop', 1.5, None), ("plain", 2.0, 3.0)]
+
+
+def test_ids_of_equal_rows(spark):
+    df = spark.range(0, 5000, 1, 8).select(F.when(F.col("id") < 4000, "same").otherwise(F.col("id").cast("string")).alias("v"))
+    got = number_rows(df, "n", ["v"]).collect()
+    assert sorted(r.n for r in got) == list(range(1, 5001))
+    assert [r.v for r in sorted(got, key=lambda r: r.n)] == sorted(r.v for r in got)

@@ -180,3 +180,56 @@ def test_workbook_cells():
         ["名称", "", "5"], [], ["2024-03-19 00:00:00", "1.5", "True", "f(x)", "", "2"]]
     with pytest.raises(ValueError, match="no worksheet"):
         list(sheet_rows(out.getvalue(), "other"))
+
+
+def test_entries_may_share_a_file_and_none_may_lack_one(spark, tmp_path):
+    path = tmp_path / "two.csv"
+    path.write_text("名,地\nx,1\ny,2\n", encoding="utf-8")
+    entries = [spec("one", path, colmap={"name": "名"}), spec("two", path, colmap={"name": "地"})]
+    assert sorted((r.source_id, r.row_pos) for r in scan_registers(spark, entries).collect()) == [("one", 0), ("one", 1), ("two", 0), ("two", 1)]
+    with pytest.raises(Exception, match="(?i)path|no file"):
+        scan_registers(spark, [*entries, spec("gone", tmp_path / "gone.csv")])
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "utf-16", "cp932", "euc_jp"])
+def test_encodings_are_found_out(encoding):
+    text = "施設名称,住所\n髙橋商店,東京都港区\nカフェ,ひらがな\n".replace("髙", "高")
+    assert decode_text(text.encode(encoding), None) == text
+
+
+def test_half_width_kana_stay_cp932():
+    text = "ｶﾌｪ ﾄｳｷｮｳ 食堂\n"
+    assert decode_text(text.encode("cp932"), None) == text
+    with pytest.raises(ValueError, match="no known encoding"):
+        decode_text(b"\x81\x20\x81\x20", None)
+
+
+def test_path_key_ignores_scheme_and_host(spark):
+    from placemill.sources.registry import path_key
+
+    paths = ["/data/a.csv", "file:/data/a.csv", "file:///data/a.csv", "hdfs://host:8020/data/a.csv", "hdfs:///data/a.csv"]
+    keys = spark.createDataFrame([(p,) for p in paths], "p string").select(path_key(F.col("p")).alias("k")).distinct().collect()
+    assert [r.k for r in keys] == ["/data/a.csv"]
+
+
+def test_workbook_errors_hints_and_epoch():
+    import io
+    import zipfile
+
+    from placemill.sources.xlsx import sheet_rows
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+    def book(properties):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}">{properties}<sheets><sheet name="S" sheetId="1" r:id="r1"/></sheets></workbook>')
+            z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
+            z.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+            z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData><row r="1"><c r="A1" t="e"><v>#REF!</v></c>'
+                       '<c r="B1" t="inlineStr"><is><t>東京</t><rPh sb="0" eb="2"><t>トウキョウ</t></rPh></is></c><c r="C1" s="1"><v>1</v></c></row></sheetData></worksheet>')
+        return out.getvalue()
+
+    assert list(sheet_rows(book(""), 0)) == [["", "東京", "1899-12-31 00:00:00"]]
+    assert list(sheet_rows(book('<workbookPr date1904="1"/>'), 0)) == [["", "東京", "1904-01-02 00:00:00"]]
