@@ -94,12 +94,9 @@ def _area_edges() -> str:
     return " UNION ALL ".join(sides)
 
 
-_OSM_BUCKET = (
-    "CASE WHEN lower(shop) = 'supermarket' THEN 'super' WHEN lower(shop) = 'convenience' THEN 'conv'"
-    " WHEN lower(shop) IN ('chemist','drugstore','drug store','drugs','dragstore','cosmetics') THEN 'drug'"
-    " WHEN lower(shop) IN ('grocery','food','general','deli','confectionery') THEN 'grocery'"
-    " WHEN lower(shop) IN ('greengrocer','seafood','butcher','farm') OR lower(amenity) = 'marketplace' THEN 'fresh' END"
-)
+_OSM_BUCKET = "CASE " + " ".join(
+    f"WHEN lower(shop) IN ({_list(tags)}){f" OR lower(amenity) = '{vocab.FRESH_AMENITY}'" if bucket == 'fresh' else ''} THEN '{bucket}'"
+    for bucket, tags in vocab.SHOP_BUCKET) + " END"
 
 _CTE = {
     "place": _plain(views.PLACE),
@@ -279,9 +276,14 @@ ORACLES: dict[str, str] = {
     "assign_region_of_place": _with("place region_edges", _inside("place", "region_edges", "p.id")),
     "assign_shop_area": _with("place area area_edges", _inside(
         "place", "area_edges", "p.id", "AND p.lon BETWEEN e.west AND e.east AND p.lat BETWEEN e.south AND e.north")),
+    "assign_chain_area": _with("place area area_edges", "SELECT id, 'group ' || CAST(CAST(substr(pref, 6) AS BIGINT) % 20 AS VARCHAR) AS pref FROM (" + _inside(
+        "place", "area_edges", "p.id", "AND p.lon BETWEEN e.west AND e.east AND p.lat BETWEEN e.south AND e.north") + ")"),
     "build_master": _with(f"{_LAYER} osm osm_fresh region_edges", """
       SELECT row_number() OVER (ORDER BY cat, src, prefecture, lng, lat, name NULLS FIRST, brand NULLS FIRST) AS store_id,
         cat, name, brand, src, prefecture, lat, lng FROM located""", _MASTER),
+    "master_files": _with(f"{_LAYER} osm osm_fresh region_edges", """
+      SELECT store_id, cat, src, prefecture, lng AS wkb_lng, lat AS wkb_lat, lng AS csv_lng, lat AS csv_lat
+      FROM (SELECT row_number() OVER (ORDER BY cat, src, prefecture, lng, lat, name NULLS FIRST, brand NULLS FIRST) AS store_id, * FROM located)""", _MASTER),
     "master_counts": _with(f"{_LAYER} osm osm_fresh region_edges", f"""
       SELECT cat, CASE cat {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in vocab.MASTER_LABELS)} ELSE '{vocab.OTHER_LABEL}' END AS label, count(*) AS n
       FROM located GROUP BY cat""", _MASTER),
@@ -291,6 +293,10 @@ ORACLES: dict[str, str] = {
     "date_normalize": _with("reg_a", f"SELECT row_pos, lic_date AS raw_date, {_date('lic_date')} AS norm_date FROM reg_a"),
     "register_normalize": _with("reg_a reg_b norm_a norm_b norm", "SELECT * FROM norm"),
     "register_merge": _with(_REGISTERS, "SELECT * EXCLUDE (k) FROM merged"),
+    "register_order": _with(_REGISTERS, f"""
+      SELECT row_number() OVER (ORDER BY first_rank, first_pos) AS "position", name, address, business_type
+      FROM merged JOIN (SELECT k, min(source_rank) AS first_rank, arg_min(row_pos, source_rank * 1000000000000 + row_pos) AS first_pos
+        FROM (SELECT *, {_squeeze('name')} || '|' || {_squeeze('address')} || '|' || {_squeeze('business_type')} AS k FROM norm) GROUP BY k) USING (k)"""),
     "merge_summary": _with(_REGISTERS, """
       SELECT sum(n_rows)::BIGINT AS rows_before, count(*) AS rows_after, sum(n_rows)::BIGINT - count(*) AS rows_removed FROM merged"""),
     "column_completeness": _with(_REGISTERS, " UNION ALL ".join(
@@ -313,6 +319,8 @@ ORACLES: dict[str, str] = {
     "registry_scan": _with("reg_b norm_b", """
       SELECT k AS srcid, name, address, business_type, 'M1' AS city_raw, license_no, license_date, geocoding_level, 'Register ' || k AS sources
       FROM norm_b, (VALUES ('utf8'), ('sjis'), ('sjis_declared'), ('book')) AS t(k)"""),
+    "registry_missing": "SELECT k AS source_id, 'phone' AS target, 'no_such_column' AS \"column\" FROM (SELECT DISTINCT k FROM customer,"
+                        " (VALUES ('utf8'), ('sjis'), ('sjis_declared'), ('book')) AS t(k))",
     "geojson_features": _with(_LAYER, _FEATURE),
     "poi_card": _with("place", f"""
       SELECT id, {_BUCKET} AS cat, coalesce(nullif(name, ''), '{vocab.NO_NAME}') AS title, coalesce(nullif(category, ''), {_BUCKET}) AS category,
@@ -328,5 +336,9 @@ ORACLES: dict[str, str] = {
     "roundtrip_csv": _with(_REGISTERS, f"SELECT {', '.join(vocab.REGISTER_COLUMNS)} FROM merged"),
     "roundtrip_geojson": _with(_LAYER, _FEATURE),
     "tsv_scan": _with("osm", "SELECT * FROM osm"),
+    "tsv_typed": _with("osm", "SELECT name, shop, amenity, TRY_CAST(lon_s AS DOUBLE) AS lon_s, TRY_CAST(lat_s AS DOUBLE) AS lat_s FROM osm"),
+    "report_text": _with("place", """
+      SELECT category, format('{:,}', n) AS n, CASE WHEN n % 2 = 0 THEN '―' ELSE printf('%.1f%%', pct) END AS pct
+      FROM (SELECT category, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 1) AS pct FROM place GROUP BY category)"""),
     "region_edges_scan": _with("area area_edges", "SELECT pref, ax, ay, bx, by_ FROM area_edges"),
 }

@@ -5,20 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placemill import vocab
 from placemill.functions.classify import chain_of, chain_or_other, is_branded
 from placemill.functions.dates import normalize_date
 from placemill.operators import branches, features, providers, registers, tiles
 from placemill.operators.extract import extract_places
+from placemill.operators.numbering import number_rows
 from placemill.operators.regions import assign_region, build_region_index, tally_regions
 from placemill.plans import master as M
 from placemill.plans import reports
 from placemill.session import scratch_path
 from placemill.sinks.features import write_geojson_lines
-from placemill.sinks.tables import write_parquet, write_register_csv
+from placemill.sinks.tables import write_master, write_parquet, write_register_csv
 from placemill.sources import places as scans
 from placemill.sources.registers import decode_files
 from placemill_checks import frames
@@ -167,11 +171,39 @@ def _candidates(spark, d):
     return M.candidates(deduped(spark, d), frames.community(spark, d))
 
 
+@query
+def assign_chain_area(spark, d):
+    """The same polygons under twenty names: features of one name overlap, and each counts."""
+    number = F.split_part("pref", F.lit(" "), F.lit(2)).cast("bigint")
+    rings = frames.area_rings(spark, d).withColumn("pref", F.concat(F.lit("group "), (number % 20).cast("string")))
+    points = frames.places(spark, d).select("id", "lon", "lat")
+    return assign_region(points, build_region_index(scans.ring_edges(rings))).select("id", "pref")
+
+
 @query
 def build_master(spark, d):
     return M.build_master(deduped(spark, d), frames.community(spark, d), frames.region_edges(spark))
 
 
+@F.pandas_udf(T.StructType([T.StructField("lng", T.DoubleType()), T.StructField("lat", T.DoubleType())]))
+def _point(wkb: pd.Series) -> pd.DataFrame:
+    layout = np.dtype([("order", "u1"), ("kind", "<u4"), ("lng", "<f8"), ("lat", "<f8")])
+    points = np.frombuffer(b"".join(wkb), layout)
+    return pd.DataFrame({"lng": points["lng"], "lat": points["lat"]})
+
+
+@query
+def master_files(spark, d):
+    """The master's two files read back: coordinates from the WKB points and from the CSV."""
+    parquet, csv = scratch_path(spark, "master"), scratch_path(spark, "master")
+    write_master(build_master(spark, d), parquet, csv)
+    points = spark.read.parquet(parquet).select("store_id", "cat", "src", "prefecture", _point("geom").alias("p"))
+    text = spark.read.csv(csv, header=True, escape='"').select(
+        F.col("store_id").cast("bigint"), F.col("lng").cast("double").alias("csv_lng"), F.col("lat").cast("double").alias("csv_lat"))
+    return points.join(text, "store_id").select(
+        "store_id", "cat", "src", "prefecture", F.col("p.lng").alias("wkb_lng"), F.col("p.lat").alias("wkb_lat"), "csv_lng", "csv_lat")
+
+
 @query
 def master_counts(spark, d):
     return reports.master_counts(M.locate(_candidates(spark, d), frames.region_edges(spark)))
@@ -211,6 +243,12 @@ def register_merge(spark, d):
     return merged(spark, d).drop("first_seen")
 
 
+@query
+def register_order(spark, d):
+    """The merged register numbered in the order its keys were first met."""
+    return number_rows(merged(spark, d).select("first_seen", "name", "address", "business_type"), "position", ["first_seen"]).drop("first_seen")
+
+
 @query
 def merge_summary(spark, d):
     return registers.merge_summary(merged(spark, d))
@@ -241,18 +279,25 @@ def register_diff(spark, d):
     return registers.register_changes(old, new)
 
 
-@query
-def registry_scan(spark, d):
-    """Files of four kinds decoded and harmonised by the registry relation."""
-    files = frames.register_files(spark, d)
+def _file_records(spark, d):
     kind = F.split_part("source_id", F.lit("-"), F.lit(1))
-    records = decode_files(files).withColumn("source_id", kind)
-    specs = [
+    records = decode_files(frames.register_files(spark, d)).withColumn("source_id", kind)
+    return records, [
         frames.SourceSpec(k, "P1", "M1", "own", f"Register {k}", "CC BY 4.0", "csv", f"/registers/{k}",
                           const={"city": "M1"}, colmap=frames.REGISTER_COLUMNS, address_parts=("addr1", "no_such_part", "addr2"))
         for k in ("utf8", "sjis", "sjis_declared", "book")
     ]
-    return registers.normalize_records(records, specs).select(
+
+
+@query
+def registry_missing(spark, d):
+    return registers.missing_columns(*_file_records(spark, d))
+
+
+@query
+def registry_scan(spark, d):
+    """Files of four kinds decoded and harmonised by the registry relation."""
+    return registers.normalize_records(*_file_records(spark, d)).select(
         "srcid", "name", "address", "business_type", "city_raw", "license_no", "license_date", "geocoding_level", "sources")
 
 
@@ -330,6 +375,20 @@ def tsv_scan(spark, d):
     return scans.scan_community_tsv(spark, path).withColumnsRenamed({"@lon": "lon_s", "@lat": "lat_s"})
 
 
+@query
+def tsv_typed(spark, d):
+    path = scratch_path(spark, "community")
+    frames.community(spark, d).write.csv(path, sep="\t", header=True)
+    return scans.scan_community_tsv(spark, path, all_text=False).withColumnsRenamed({"@lon": "lon_s", "@lat": "lat_s"})
+
+
+@query
+def report_text(spark, d):
+    counts = frames.places(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    share = F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy(F.lit(0))), 1)
+    return reports.with_display_text(counts.withColumn("pct", F.when(F.col("n") % 2 == 1, share)), ["n"], ["pct"])
+
+
 @query
 def region_edges_scan(spark, d):
     path = scratch_path(spark, "areas")
