@@ -15,7 +15,8 @@ A window is covered if its bucket has a smaller doc_id; a byte is removed if a c
 Texts are written once as packs of a few MB, in a table bucketed by the part that wrote them. Each refinement is a pass over
 the packs, a shuffle of packed identifiers by bucket, and small answers that join the packs where they lie, so texts
 are never shuffled. A pack sends each identifier once, with its smallest document, so a passage in a third of all
-documents is one number per pack; the number of identifier ranges grows with the input, which bounds the memory of a task.
+documents is one number per pack; the number of identifier ranges grows with the input and the shuffle partitions, which bounds the
+memory of a task.
 
 Defined results: a NULL text is the empty text; texts are compared as UTF-8 bytes; a NULL doc_id is larger than any other;
 rows with equal doc_id do not count as smaller than each other; texts of fewer than LENGTH bytes are kept whole; an
@@ -40,7 +41,8 @@ from placemill.session import scratch_path, stable
 LENGTH = 50
 Q = 26
 PACK_BYTES = 2 << 20
-RANGE_BYTES = 8 << 20   # bytes of text whose identifiers one range holds about
+RANGE_BYTES = 64 << 20  # bytes of text whose identifiers one range holds at most about
+RANGES_PER_PARTITION = 4
 NO_ID = (1 << 63) - 1
 
 _PACK = "part int, pack int, ids array<long>, ends array<int>, data binary"
@@ -324,7 +326,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans array<struct<start, end>> (the removed runs), kept (the remaining bytes) of every document."""
     packs = packed(docs)
     total = packs.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    bits = max(0, int(total // RANGE_BYTES).bit_length())
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(int(total // RANGE_BYTES), RANGES_PER_PARTITION * partitions - 1).bit_length()
     answers: list[DataFrame] = []
     for turn in (1, 2, 3):
         known = _with_answers(packs, answers) if answers else packs
