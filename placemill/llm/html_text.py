@@ -43,6 +43,10 @@ PURPOSE = re.compile(
     r"masthead|topbar|footers?|comments?|commentlist|repl(?:y|ies)|respond|disqus|discussion|login|signin|signup|search|searchbox|"
     r"pagination|pager|toolbar|copyright|disclaimer|skip|hidden|complementary|contentinfo|dialog)$")
 
+# fixed values: first words of names of an article's own parts, and what may then follow without setting it apart
+ARTICLE_WORDS = {"article", "post", "entry", "story", "content"}
+OF_ARTICLE = {"header", "notice", "notices"}
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<(?=[a-zA-Z/])[^>]*\Z", re.S)
@@ -62,7 +66,8 @@ def _set_apart(name: str, attributes: str) -> bool:
     for value in _NAMED.findall(attributes):
         for word in re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", "".join(value)).lower().split():
             parts = _PARTS.split(word)
-            if parts[0] not in {"with", "has", "no"} and any(PURPOSE.match(p) for p in parts):
+            own = OF_ARTICLE if parts[0] in ARTICLE_WORDS else set()
+            if parts[0] not in {"with", "has", "no"} and any(PURPOSE.match(p) and p not in own for p in parts):
                 return True
     return False
 
@@ -156,6 +161,8 @@ def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
         while dive < len(sums) and sums[dive]:
             dive += 1
         if max(sums[i:dive]) >= max(1, threshold):
+            while not sizes[i]:  # a window sees the surge before its first line does
+                i += 1
             kept += [text for (text, _, main), n in zip(lines[i:dive], sizes[i:dive], strict=True) if text and (n or not inside)]
         i = dive
     return kept
