@@ -29,6 +29,7 @@ from placemill.llm.common import text_or_empty
 IDF_BAND = (1.2, 6.9)  # natural logarithms: terms in 30 % to 0.1 % of the documents
 SLOTS = 1 << 20
 SUBSETS = 32           # subsets hashed per density
+BLOCKS_PER_PARTITION = 2
 TERMS = 1.0            # terms of a document that a subset of the denser cut should hold
 
 
@@ -105,11 +106,12 @@ def shown(prints: Column) -> Column:
 def with_follower(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """``rows`` (key, hash, ...) with ``columns`` of the row that follows in descending order, as struct ``next``.
 
-    The first rows of as many ranges as there are shuffle partitions cut the order into blocks. Each row is sent to its
+    The first rows of a few ranges per shuffle partition cut the order into blocks. Each row is sent to its
     block, the first row of a block also to the block before, so the rows move once."""
-    keys = rows.select("key", "hash").repartitionByRange(F.col("key").desc(), F.col("hash").desc())
+    blocks = BLOCKS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = rows.select("key", "hash").repartitionByRange(blocks, F.col("key").desc(), F.col("hash").desc())
     firsts = keys.groupBy(F.spark_partition_id()).agg(F.max(F.struct("key", "hash")).alias("first")).select("first.*").collect()
-    starts = sorted(firsts, reverse=True)  # one per partition
+    starts = sorted(firsts, reverse=True)  # one per range
     listed = F.array(*[F.struct(F.lit(k).cast("long").alias("key"), F.lit(h).cast("long").alias("hash")) for k, h in starts])
     if not starts:
         return rows.withColumn("next", F.struct(*columns)).where("false")
