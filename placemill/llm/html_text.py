@@ -3,8 +3,8 @@ r"""Main text of web pages by line-block distribution.
 Markup is stripped to lines, one per block of text in page order. The text of menus, headers, footers, sidebars, notices,
 adverts, forms, scripts and reader comments leaves a line of length 0 where it stood; text inside links does not count
 as length. Over windows of ``WINDOW`` lines the lengths are summed. A run of text begins where the sums surge above 0
-and ends where they dive back to 0; the runs that reach the threshold are kept with all their lines. Lines inside an
-article element need no length to be kept, lines outside are dropped if the page has such an element with text.
+and ends where they dive back to 0; the runs that reach the threshold are kept with all their lines. This decides on every
+page: an article element only makes text in its links count as length.
 
 Defined results: a NULL or empty html gives an empty text; a page that breaks off inside a tag, comment, script or
 style loses that rest; repeated rows are extracted alike; an empty table gives an empty result; other columns are
@@ -147,10 +147,9 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 
 def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
     """The lines between surge and dive of the window sums."""
-    inside = any(text and main for text, _, main in lines)
-    sizes = [0 if not text or (inside and not main) else len(text) if main else n for text, n, main in lines]
+    sizes = [0 if not text else len(text) if main else n for text, n, main in lines]
     sums = [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
-    threshold = 1 if inside else min(LONG_RUN, max(sums, default=0))
+    threshold = min(LONG_RUN, max(sums, default=0))
     kept: list[str] = []
     i = 0
     while i < len(sums):
@@ -163,7 +162,7 @@ def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
         if max(sums[i:dive]) >= max(1, threshold):
             while not sizes[i]:  # a window sees the surge before its first line does
                 i += 1
-            kept += [text for (text, _, main), n in zip(lines[i:dive], sizes[i:dive], strict=True) if text and (n or not inside)]
+            kept += [text for text, _, _ in lines[i:dive] if text]
         i = dive
     return kept
 

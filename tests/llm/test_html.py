@@ -30,6 +30,14 @@ def test_long_page_and_many_blocks():
     assert main_text("<div" * 30_000) == "" and main_text("<p>" + "&" * 50_000) == "&" * 50_000
 
 
+def test_window_sums_decide_on_pages_with_an_article():
+    long = "word " * 30 + "end"
+    apart = "<nav><p>menu</p></nav>" * 3
+    assert main_text(f"<article><p>{long}</p></article>{apart}<p>{long} too</p>") == f"{long}\n\n{long} too"
+    assert main_text(f"<article><p>{long}</p>{apart}<p>short</p></article>") == long
+    assert main_text(f"<article><p>{long}</p><p><a href=x>{long}</a></p></article>") == f"{long}\n\n{long}"
+
+
 def test_extract(spark):
     rows = [(i, f"u{i}", h, "x") for i, (h, _) in enumerate(CASES)] + [(None, None, None, None), (1, "u1", "", "x")]
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
