@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.llm import bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality, repeats
+from placemill.llm import balltree, bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality, repeats
 from placemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,25 @@ SELECT doc_id, size, source_size, target,
   size * CAST(floor(rate) + CASE WHEN step - floor(step) < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM u
 """
 
+def op11_balltree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = """unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term"""
+OP11_SQL = f"""
+WITH t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY ALL),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM d),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {_TERMS} FROM benchmark)),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * c.docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c),
+s AS (SELECT q.item_id, t.doc_id, CAST(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * (50 + (50 * d.n * c.docs) // c.len)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN d USING (doc_id), c GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {balltree.TOP}
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_html": op2_html,
@@ -134,5 +153,6 @@ QUERIES: dict[str, Query] = {
     "op8_exact": op8_exact,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op11_balltree": op11_balltree,
 }
-ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op8_exact": OP8_SQL, "op10_mixing": OP10_SQL}
+ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op8_exact": OP8_SQL, "op10_mixing": OP10_SQL, "op11_balltree": OP11_SQL}
