@@ -7,16 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.llm import balltree, bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality, repeats
+from placemill.llm import alignment, balltree, bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality, repeats
 from placemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def word_vocabulary() -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_vocabulary() -> str:
+    return vocabulary("word_bpe_49k.json")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +146,10 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {balltree.TOP}
 """
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.agreement(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_html": op2_html,
@@ -154,5 +162,6 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
     "op11_balltree": op11_balltree,
+    "op12_alignment": op12_alignment,
 }
 ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op8_exact": OP8_SQL, "op10_mixing": OP10_SQL, "op11_balltree": OP11_SQL}
