@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.llm import alignment, balltree, bpe, chat, exact, html_text, imatch, langid, minhash, mixing, quality, repeats
+from placemill.llm import alignment, balltree, bpe, chat, exact, html_text, imatch, langid, minhash, mixing, private, quality, repeats
 from placemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.agreement(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
+def op13_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.digests(private.find(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_html": op2_html,
@@ -163,5 +167,6 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
     "op11_balltree": op11_balltree,
     "op12_alignment": op12_alignment,
+    "op13_private": op13_private,
 }
 ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op8_exact": OP8_SQL, "op10_mixing": OP10_SQL, "op11_balltree": OP11_SQL}
