@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from placemill import vocab
 from placemill.functions.classify import chain_or_other, is_branded
 from placemill.functions.geo import Metres
+from placemill.operators.nearest import nearest_neighbours
 from placemill.operators.proximity import having_neighbour
 
 
@@ -58,19 +58,21 @@ def duplicate_report(places: DataFrame, radius_m: float = vocab.DUPLICATE_METRES
     )
 
 
+def nearest_branches(shops: DataFrame, widest_m: float) -> DataFrame:
+    """(id, chain, other_id, metres): every generic shop with the nearest branded shop of its chain, NULL if there is none so near."""
+    found = nearest_neighbours(shops.where(~F.col("branded")), shops.where("branded"), widest_m, on=["chain"])
+    nearest = F.get("neighbours", F.lit(0))
+    return found.select("id", "chain", nearest["id"].alias("other_id"), nearest["metres"].alias("metres"))
+
+
 def capture_rate(places: DataFrame, radii_m: Sequence[float] = (50.0, 500.0)) -> DataFrame:
     """Share of generic shops with a branded neighbour of their chain, per radius.
 
-    Each radius asks for existence on its own grid, so a wide radius costs no more copies than a narrow one.
+    All radii are counted from the nearest branch's distance, which is found once.
     """
-    shops = with_chain_and_branch(places)
-    generic = shops.where(~F.col("branded")).groupBy("chain").agg(F.count(F.lit(1)).alias("n_generic"))
-    captured = reduce(DataFrame.unionByName, [
-        near_branches(shops, r).select("chain", F.lit(float(r)).alias("radius_m")) for r in radii_m
-    ]).groupBy("chain", "radius_m").agg(F.count(F.lit(1)).alias("n_captured"))
-    spine = generic.withColumn("radius_m", F.explode(F.array(*[F.lit(float(r)) for r in radii_m])))
-    return spine.join(captured, ["chain", "radius_m"], "left").select(
-        "chain", "radius_m", "n_generic",
-        F.coalesce("n_captured", F.lit(0)).alias("n_captured"),
-        F.round(F.coalesce("n_captured", F.lit(0)) / F.col("n_generic") * 100, 4).alias("capture_pct"),
-    )
+    nearest = nearest_branches(with_chain_and_branch(places), max(radii_m))
+    counts = nearest.groupBy("chain").agg(
+        F.count(F.lit(1)).alias("n_generic"), F.array(*[F.count_if(F.col("metres") <= r) for r in radii_m]).alias("captured"))
+    spine = F.array(*[F.struct(F.lit(float(r)).alias("radius_m"), F.get("captured", F.lit(i)).alias("n_captured")) for i, r in enumerate(radii_m)])
+    return counts.select("chain", "n_generic", F.inline(spine)).select(
+        "chain", "radius_m", "n_generic", "n_captured", F.round(F.col("n_captured") / F.col("n_generic") * 100, 4).alias("capture_pct"))

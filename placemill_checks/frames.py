@@ -136,6 +136,19 @@ def register(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     return _derived(spark, sf_dir, which, lambda: _sql(spark, sf_dir, sql, "customer"))
 
 
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, sf_dir, views.GAZETTEER, "nation")
+
+
+def located_register(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """(id, name, lon, lat): a register's shops where their areas lie; register B's are a little off."""
+    off = 0.0 if which == "reg_a" else 0.0011
+    spots = areas(spark, sf_dir).select(F.split_part("pref", F.lit(" "), F.lit(2)).cast("bigint").alias("id"), (F.col("mx") + off).alias("lon"),
+                                        (F.col("my") + off).alias("lat"))
+    names = register(spark, sf_dir, which).select(F.col("row_pos").alias("id"), F.col("facility_name").alias("name"))
+    return names.join(spots, "id")
+
+
 # ---- register files built from the register views: one file per 500 shops -----------------------
 FILE_ROWS = 500
 FILE_COLUMNS = ["facility_name", "addr1", "addr2", "biz", "lic", "lat_s", "lng_s", "lic_date"]

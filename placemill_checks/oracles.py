@@ -7,7 +7,7 @@ from placemill_checks import views
 
 
 def _plain(sql: str) -> str:
-    return sql.replace("{orders}", "orders").replace("{customer}", "customer").strip()
+    return sql.replace("{orders}", "orders").replace("{customer}", "customer").replace("{nation}", "nation").strip()
 
 
 def _list(values) -> str:
@@ -193,6 +193,20 @@ _CTE |= {
 }
 
 
+_CTE |= {
+    "gazetteer": "SELECT DISTINCT * FROM (" + _plain(views.GAZETTEER) + ")",
+    "names": f"""
+      SELECT prefix, any_value(prefecture) AS prefecture, any_value(municipality) AS municipality FROM (
+        SELECT {_squeeze('prefecture || municipality')} AS prefix, * FROM gazetteer
+        UNION ALL SELECT {_squeeze('municipality')}, * FROM gazetteer) GROUP BY prefix HAVING count(*) = 1""",
+    "in_town": f"""
+      SELECT n.srcid, n.row_pos, n.address, arg_max(g.prefecture, length(g.prefix)) AS found_prefecture, arg_max(g.municipality, length(g.prefix)) AS found_municipality
+      FROM norm n LEFT JOIN names g ON {_squeeze('n.address')} LIKE g.prefix || '%' GROUP BY n.srcid, n.row_pos, n.address""",
+    "located_a": "SELECT row_pos AS id, facility_name AS name, mx AS lon, my AS lat FROM reg_a JOIN area ON pref = 'area ' || row_pos",
+    "located_b": "SELECT row_pos AS id, facility_name AS name, mx + 0.0011::DOUBLE AS lon, my + 0.0011::DOUBLE AS lat FROM reg_b JOIN area ON pref = 'area ' || row_pos",
+}
+
+
 def _with(names: str, body: str, extra: dict[str, str] | None = None) -> str:
     tables = _CTE | (extra or {})
     wanted = names.split() + list(extra or {})
@@ -270,6 +284,22 @@ ORACLES: dict[str, str] = {
     "capture_rate_by_radius": _with("place shops", f"""
       , nearest AS (SELECT g.id, min({_METRES}) AS d FROM shops g JOIN shops b ON g.chain = b.chain WHERE NOT g.branded AND b.branded GROUP BY g.id)
       {_CAPTURE}"""),
+    "nearest_branch": _with("place shops", f"""
+      , d AS (SELECT g.id, b.id AS other_id, round({_METRES}, 6) AS d FROM shops g JOIN shops b ON g.chain = b.chain
+        WHERE NOT g.branded AND b.branded AND {_METRES} <= 2000)
+      SELECT g.id, n.other_id, round(n.d, 3) AS metres FROM shops g LEFT JOIN (
+        SELECT id, other_id, d, row_number() OVER (PARTITION BY id ORDER BY d, other_id) AS rn FROM d) n ON g.id = n.id AND n.rn = 1 WHERE NOT g.branded"""),
+    "nearest_three_shops": _with("place", f"""
+      , d AS (SELECT g.id, b.id AS other_id, round({_METRES}, 6) AS d FROM place g JOIN place b ON abs(g.lat - b.lat) < 0.01
+        WHERE g.category = 'supermarket' AND b.category = 'convenience_store' AND {_METRES} <= 1000)
+      SELECT g.id, n.nth::INTEGER AS nth, n.other_id, round(n.d, 3) AS metres FROM place g LEFT JOIN (
+        SELECT id, other_id, d, row_number() OVER (PARTITION BY id ORDER BY d, other_id) AS nth FROM d) n ON g.id = n.id AND n.nth <= 3
+      WHERE g.category = 'supermarket'"""),
+    "fuzzy_link": _with("reg_a reg_b area located_a located_b", f"""
+      , pairs AS (SELECT g.id, b.id AS other_id, levenshtein(lower({_squeeze('g.name')}), lower({_squeeze('b.name')})) AS edits, round({_METRES}, 3) AS metres
+        FROM located_a g JOIN located_b b ON abs(g.lat - b.lat) < 0.2 AND {_METRES} <= 20000 WHERE {_squeeze('g.name')} <> '' AND {_squeeze('b.name')} <> '')
+      SELECT id, other_id, edits::INTEGER AS edits, metres FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY edits, metres, other_id) AS rn FROM pairs WHERE edits <= 2) WHERE rn = 1"""),
     "noise_purge": _with("place", f"SELECT id, name FROM place WHERE category = 'grocery_store' AND NOT ({_NOISE})"),
     "spatial_anti_join_grocery": _with("place osm osm_fresh", "SELECT * FROM gc_uniq", _fresh_and_grocery("place")),
     "spatial_anti_join_fresh": _with("place osm osm_fresh", "SELECT * FROM fresh_uniq", _fresh_and_grocery("place")),
@@ -316,6 +346,17 @@ ORACLES: dict[str, str] = {
         CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS change
       FROM merged_a o FULL OUTER JOIN merged_new n ON o.k = n.k
       WHERE o.k IS NULL OR n.k IS NULL OR {' OR '.join(f'o.{c} <> n.{c}' for c in vocab.REGISTER_COLUMNS)}"""),
+    "municipality_of_address": _with("reg_a reg_b norm_a norm_b norm gazetteer names in_town", "SELECT * FROM in_town"),
+    "municipality_coverage": _with("reg_a reg_b norm_a norm_b norm gazetteer names in_town", """
+      , t AS (SELECT g.prefecture, g.municipality, count(i.address) AS n FROM gazetteer g LEFT JOIN (
+        SELECT * FROM in_town WHERE srcid = 'reg_a' AND address NOT LIKE 'Town 1%') i
+        ON g.prefecture = i.found_prefecture AND g.municipality = i.found_municipality GROUP BY g.prefecture, g.municipality)
+      SELECT CASE grouping_id(prefecture, municipality) WHEN 3 THEN 'country' WHEN 1 THEN 'prefecture' ELSE 'municipality' END AS level, prefecture, municipality,
+        sum(n)::BIGINT AS n_rows, count(*) AS n_municipalities, count(*) FILTER (WHERE n > 0) AS n_covered,
+        round(count(*) FILTER (WHERE n > 0) / count(*) * 100, 4) AS covered_pct FROM t GROUP BY ROLLUP (prefecture, municipality)"""),
+    "municipality_gaps": _with("reg_a reg_b norm_a norm_b norm gazetteer names in_town", """
+      SELECT prefecture, municipality FROM gazetteer WHERE (prefecture, municipality) NOT IN (
+        SELECT (found_prefecture, found_municipality) FROM in_town WHERE srcid = 'reg_a' AND address NOT LIKE 'Town 1%' AND found_municipality IS NOT NULL)"""),
     "registry_scan": _with("reg_b norm_b", """
       SELECT k AS srcid, name, address, business_type, 'M1' AS city_raw, license_no, license_date, geocoding_level, 'Register ' || k AS sources
       FROM norm_b, (VALUES ('utf8'), ('sjis'), ('sjis_declared'), ('book')) AS t(k)"""),

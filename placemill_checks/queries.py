@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from placemill import vocab
 from placemill.functions.classify import chain_of, chain_or_other, is_branded
 from placemill.functions.dates import normalize_date
-from placemill.operators import branches, features, providers, registers, tiles
+from placemill.operators import branches, features, gazetteer, linkage, providers, registers, tiles
 from placemill.operators.extract import extract_places
+from placemill.operators.nearest import nearest_neighbours
 from placemill.operators.numbering import number_rows
 from placemill.operators.regions import assign_region, build_region_index, tally_regions
 from placemill.plans import master as M
@@ -137,6 +138,29 @@ def capture_rate_by_radius(spark, d):
     return branches.capture_rate(frames.places(spark, d), (50.0, 100.0, 500.0))
 
 
+@query
+def nearest_branch(spark, d):
+    """The neighbour itself and its distance, within two kilometres."""
+    found = branches.nearest_branches(branches.with_chain_and_branch(frames.places(spark, d)), 2000.0)
+    return found.select("id", "other_id", F.round("metres", 3).alias("metres"))
+
+
+@query
+def nearest_three_shops(spark, d):
+    """The three nearest convenience stores of each supermarket within a kilometre, whatever their chain."""
+    places = frames.places(spark, d)
+    of = lambda category: places.where(F.col("category") == category).select("id", "lon", "lat")
+    found = nearest_neighbours(of("supermarket"), of("convenience_store"), 1000.0, 3)
+    return found.select("id", F.posexplode_outer("neighbours").alias("pos", "n")).select(
+        "id", (F.col("pos") + 1).alias("nth"), F.col("n.id").alias("other_id"), F.round("n.metres", 3).alias("metres"))
+
+
+@query
+def fuzzy_link(spark, d):
+    """Shops of register A and B up to two edits and twenty kilometres apart."""
+    return linkage.fuzzy_link(frames.located_register(spark, d, "reg_a"), frames.located_register(spark, d, "reg_b"), 20_000.0, 2)
+
+
 @query
 def noise_purge(spark, d):
     return M.clean_groceries(frames.places(spark, d)).select("id", "name")
@@ -279,6 +303,28 @@ def register_diff(spark, d):
     return registers.register_changes(old, new)
 
 
+@query
+def municipality_of_address(spark, d):
+    rows = harmonised(spark, d).select("srcid", "row_pos", "address")
+    return gazetteer.municipality_of_address(rows, frames.gazetteer(spark, d))
+
+
+def _municipalities(spark, d):
+    """Register A outside the towns that begin with 1, and the gazetteer."""
+    rows = harmonised(spark, d).where("srcid = 'reg_a' AND address NOT LIKE 'Town 1%'").select("address")
+    return gazetteer.municipality_of_address(rows, frames.gazetteer(spark, d)), frames.gazetteer(spark, d)
+
+
+@query
+def municipality_coverage(spark, d):
+    return gazetteer.coverage_by_level(*_municipalities(spark, d))
+
+
+@query
+def municipality_gaps(spark, d):
+    return gazetteer.coverage_gaps(*_municipalities(spark, d))
+
+
 def _file_records(spark, d):
     kind = F.split_part("source_id", F.lit("-"), F.lit(1))
     records = decode_files(frames.register_files(spark, d)).withColumn("source_id", kind)

@@ -92,3 +92,11 @@ REGISTER_A = _REGISTER % {
     "name": "CASE WHEN c_custkey % 50 = 7 THEN '' ELSE replace(c_name, '#', ' ') END"}
 REGISTER_B = _REGISTER % {
     "name": "replace(c_name, '#', CASE WHEN c_custkey % 4 = 1 THEN ' ' ELSE '　' END) || CASE WHEN c_custkey % 5 = 0 THEN ' Annex' ELSE '' END"}
+
+# every nation is a town of its region, and the towns of the registers ("Town 0" to "Town 24") are among a hundred others
+GAZETTEER = """
+SELECT 'Region ' || CAST(n_regionkey AS VARCHAR(20)) AS prefecture, 'Town ' || CAST(n_nationkey AS VARCHAR(20)) AS municipality FROM {nation}
+UNION ALL SELECT 'Region ' || CAST(n_regionkey AS VARCHAR(20)), 'Town ' || CAST(n_nationkey + 25 AS VARCHAR(20)) || ' New' FROM {nation}
+UNION ALL SELECT 'Region ' || CAST(n_regionkey AS VARCHAR(20)), 'Town ' || CAST(n_nationkey AS VARCHAR(20)) || ' Bldg ' || CAST(n_regionkey AS VARCHAR(20)) FROM {nation}
+UNION ALL SELECT 'Region ' || CAST(n_regionkey AS VARCHAR(20)), 'Old Town' FROM {nation}
+"""
