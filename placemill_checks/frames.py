@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.operators.registers import normalize_frame
 from placemill.session import stable
 from placemill.sources.registry import SourceSpec
 from placemill_checks import views
@@ -149,6 +150,42 @@ def located_register(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     return names.join(spots, "id")
 
 
+DELIVERIES = 4
+
+
+def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register A, harmonised, in deliveries d1 to d4: a shop is missing where (its number * n) mod 7 is 3, and has another license from
+    d3 on where its number is a multiple of 9. ``srcid`` names the delivery, too."""
+    rows = normalize_frame(register(spark, sf_dir, "reg_a"), register_specs()[0]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(DELIVERIES))))
+    rows = rows.where((F.col("row_pos") * F.col("n")) % 7 != 3).withColumn(
+        "license_no", F.when((F.col("n") >= 3) & (F.col("row_pos") % 9 == 0), F.concat("license_no", F.lit("x"))).otherwise(F.col("license_no")))
+    delivery = F.concat(F.lit("d"), F.col("n").cast("string"))
+    return rows.withColumns({"delivery": delivery, "srcid": delivery}).drop("n")
+
+
+VARIED_ROWS = 50
+
+
+def varied_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files of register B whose columns vary with their number: one of the first five columns is missing, every third file has
+    columns of its own, every fourth is in cp932, and every fifth has a title row."""
+    rows = register(spark, sf_dir, "reg_b").withColumn("file_no", F.floor(F.col("row_pos") / VARIED_ROWS))
+    number, columns = F.col("file_no"), F.array(*map(F.lit, FILE_COLUMNS))
+    titles = F.filter(columns, lambda c, i: i != number % 5)
+    titles = F.when(number % 3 == 0, F.concat(titles, F.array(F.lit("own"), F.concat(F.lit("own "), (number % 4).cast("string"))))).otherwise(titles)
+    line = F.concat_ws(",", F.col("row_pos").cast("string"), *[F.lit("x")] * 5)
+    text = rows.groupBy("file_no").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))  # VARIED_ROWS rows at most
+    whole = F.concat(F.when(number % 5 == 0, "Title row\n").otherwise(""), F.array_join(titles, ","), F.lit("\n"), F.col("body"))
+    content = F.when(number % 4 == 0, to_plain_cp932(whole)).otherwise(F.encode(whole, "UTF-8"))
+    return text.select(F.concat(F.lit("file-"), number.cast("string")).alias("file"), F.lit("csv").alias("format"), F.lit(None).cast("string").alias("encoding"),
+                       F.lit("#0").alias("sheet"), content.alias("content"))
+
+
+def varied_specs() -> list[SourceSpec]:
+    return [SourceSpec(f"known-{k}", "P1", "M1", "own", "Known", "L", "csv", f"/known/{k}.csv",
+                       colmap={"name": "facility_name", "license_no": "lic", "phone": f"own {k}"}, address_parts=("addr1", "addr2")[:1 + k % 2]) for k in range(4)]
+
+
 # ---- register files built from the register views: one file per 500 shops -----------------------
 FILE_ROWS = 500
 FILE_COLUMNS = ["facility_name", "addr1", "addr2", "biz", "lic", "lat_s", "lng_s", "lic_date"]
@@ -163,6 +200,11 @@ def _csv_text(rows: DataFrame, encode) -> DataFrame:
     return rows.groupBy("file_no").agg(encode(F.concat(F.lit(",".join(FILE_COLUMNS) + "\r\n"), body)).alias("content"))
 
 
+@F.pandas_udf(T.BinaryType())
+def to_plain_cp932(text: pd.Series) -> pd.Series:
+    return text.map(lambda s: s.encode("cp932"))
+
+
 @F.pandas_udf(T.BinaryType())
 def to_cp932(text: pd.Series) -> pd.Series:
     return text.map(lambda s: ("Title row\r\n" + s).encode("cp932"))

@@ -193,7 +193,24 @@ _CTE |= {
 }
 
 
+_MORTON = " + ".join(f"(((x >> {i}) & 1) << {2 * i}) + (((y >> {i}) & 1) << {2 * i + 1})" for i in range(16))
 _CTE |= {
+    "delivered": """
+      SELECT 'd' || n AS delivery, row_pos, facility_name, addr1, addr2, biz, lat_s, lng_s, lic_date,
+        CASE WHEN n >= 3 AND row_pos % 9 = 0 THEN lic || 'x' ELSE lic END AS lic
+      FROM reg_a, (SELECT unnest(generate_series(1, 4)) AS n) WHERE (row_pos * n) % 7 <> 3""",
+    "state": f"""
+      SELECT delivery, {_squeeze('name')} || '|' || {_squeeze('address')} || '|' || {_squeeze('business_type')} AS match_key,
+        arg_min(row(license_no, lat, lng, license_date, name, address), row_pos) AS body, CAST(substr(delivery, 2) AS BIGINT) AS seq
+      FROM ({_normal('delivered', '', '', 0, 'M1', 'x').replace("AS srcid", "AS srcid, delivery")}) GROUP BY 1, 2""",
+    "last_delivery": "SELECT * FROM delivered WHERE delivery = 'd4'",
+    "norm_last": _normal("last_delivery", "Register A", "CC BY 4.0", 0, "M1", "reg_a"),
+    "merged_last": _merge("norm_last"),
+    "varied": """
+      SELECT file_no, list_sort(list_distinct(list_filter(['facility_name', 'addr1', 'addr2', 'biz', 'lic', 'lat_s', 'lng_s', 'lic_date'],
+          lambda c, i: i - 1 <> file_no % 5) || CASE WHEN file_no % 3 = 0 THEN ['own', 'own ' || CAST(file_no % 4 AS VARCHAR)] ELSE [] END)) AS titles
+      FROM (SELECT DISTINCT CAST(floor(c_custkey / 50.0) AS BIGINT) AS file_no FROM customer)""",
+    "signed": "SELECT *, sha256(array_to_string(titles, chr(10))) AS signature FROM varied",
     "gazetteer": "SELECT DISTINCT * FROM (" + _plain(views.GAZETTEER) + ")",
     "names": f"""
       SELECT prefix, any_value(prefecture) AS prefecture, any_value(municipality) AS municipality FROM (
@@ -346,6 +363,24 @@ ORACLES: dict[str, str] = {
         CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS change
       FROM merged_a o FULL OUTER JOIN merged_new n ON o.k = n.k
       WHERE o.k IS NULL OR n.k IS NULL OR {' OR '.join(f'o.{c} <> n.{c}' for c in vocab.REGISTER_COLUMNS)}"""),
+    "register_history": _with("reg_a delivered state", """
+      , s AS (SELECT *, CASE WHEN lag(seq) OVER k IS NULL THEN 'new' WHEN seq - lag(seq) OVER k > 1 THEN 'returned' WHEN body <> lag(body) OVER k THEN 'changed' END AS opened
+        FROM state WINDOW k AS (PARTITION BY match_key ORDER BY seq)),
+      r AS (SELECT *, count(opened) OVER (PARTITION BY match_key ORDER BY seq) AS nth FROM s)
+      SELECT match_key, nth, min(delivery) AS first_seen, max(delivery) AS last_seen, count(*) AS n_deliveries, max(opened) AS opened, max(seq) = 4 AS open
+      FROM r GROUP BY match_key, nth"""),
+    "register_refresh": _with("reg_a delivered last_delivery norm_last merged_last", "SELECT * EXCLUDE (k) FROM merged_last"),
+    "file_signatures": _with("varied signed", "SELECT 'file-' || file_no AS file, array_to_string(titles, '|') AS titles, signature FROM signed"),
+    "near_signatures": _with("varied signed", """
+      , u AS (SELECT DISTINCT signature, titles FROM signed)
+      SELECT a.signature, b.signature AS other, round(len(list_intersect(a.titles, b.titles)) / len(list_distinct(a.titles || b.titles)), 6) AS jaccard
+      FROM u a JOIN u b ON a.signature < b.signature WHERE len(list_intersect(a.titles, b.titles)) / len(list_distinct(a.titles || b.titles)) >= 0.75"""),
+    "mapping_proposals": _with("varied", """
+      , w(source_id, k, wanted) AS (SELECT 'known-' || k, k, ['facility_name', 'lic', 'own ' || k, 'addr1'] || CASE WHEN k % 2 = 1 THEN ['addr2'] ELSE [] END
+        FROM (SELECT unnest(generate_series(0, 3)) AS k)),
+      f AS (SELECT file_no, source_id, k, len(list_intersect(titles, wanted)) AS n_found, len(wanted) AS n_wanted FROM varied, w)
+      SELECT 'file-' || file_no AS file, source_id, n_found, n_wanted FROM (
+        SELECT *, row_number() OVER (PARTITION BY file_no ORDER BY n_found / n_wanted DESC, n_found DESC, k) AS rn FROM f WHERE n_found > 0) WHERE rn = 1"""),
     "municipality_of_address": _with("reg_a reg_b norm_a norm_b norm gazetteer names in_town", "SELECT * FROM in_town"),
     "municipality_coverage": _with("reg_a reg_b norm_a norm_b norm gazetteer names in_town", """
       , t AS (SELECT g.prefecture, g.municipality, count(i.address) AS n FROM gazetteer g LEFT JOIN (
@@ -373,6 +408,15 @@ ORACLES: dict[str, str] = {
     "tile_thinning": _with(_LAYER, """
       SELECT z, x, y, id, tile_rank FROM (
         SELECT *, row_number() OVER (PARTITION BY z, x, y ORDER BY confidence DESC, id) AS tile_rank FROM zoomed) WHERE tile_rank <= 10""", _TILE),
+    "tile_drop_densest": _with(_LAYER, f"""
+      , cells AS (SELECT id, CAST(floor((lon + 180.0) / 360.0 * 65536) AS BIGINT) AS x,
+          CAST(floor((1.0 - ln(tan(radians(lat)) + 1.0 / cos(radians(lat))) / pi()) / 2.0 * 65536) AS BIGINT) AS y FROM layer),
+      curve AS (SELECT id, {_MORTON} AS c FROM cells),
+      gaps AS (SELECT id, c - lag(c) OVER (ORDER BY c, id) AS gap FROM curve),
+      sparse AS (SELECT id, CASE WHEN gap IS NULL THEN 33 WHEN gap = 0 THEN 0 ELSE length(format('{{:b}}', gap)) END AS s FROM gaps),
+      more AS (SELECT z, x, y, s, sum(count(*)) OVER (PARTITION BY z, x, y ORDER BY s DESC) AS more FROM zoomed JOIN sparse USING (id) GROUP BY z, x, y, s),
+      t AS (SELECT z, least(33, coalesce(max(s) FILTER (WHERE more > 10) + 1, 0)) AS threshold FROM more GROUP BY z)
+      SELECT z, x, y, id FROM zoomed JOIN sparse USING (id) JOIN t USING (z) WHERE s >= threshold""", _TILE),
     "roundtrip_parquet": _with(_LAYER, f"SELECT {_LAYER_COLUMNS} FROM layer"),
     "roundtrip_csv": _with(_REGISTERS, f"SELECT {', '.join(vocab.REGISTER_COLUMNS)} FROM merged"),
     "roundtrip_geojson": _with(_LAYER, _FEATURE),

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from placemill import vocab
 from placemill.functions.classify import chain_of, chain_or_other, is_branded
 from placemill.functions.dates import normalize_date
-from placemill.operators import branches, features, gazetteer, linkage, providers, registers, tiles
+from placemill.operators import branches, features, gazetteer, history, linkage, providers, registers, signatures, thinning, tiles
 from placemill.operators.extract import extract_places
 from placemill.operators.nearest import nearest_neighbours
 from placemill.operators.numbering import number_rows
@@ -26,6 +26,7 @@ from placemill.sinks.features import write_geojson_lines
 from placemill.sinks.tables import write_master, write_parquet, write_register_csv
 from placemill.sources import places as scans
 from placemill.sources.registers import decode_files
+from placemill.streaming import buckets
 from placemill_checks import frames
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -325,6 +326,40 @@ def municipality_gaps(spark, d):
     return gazetteer.coverage_gaps(*_municipalities(spark, d))
 
 
+@query
+def register_history(spark, d):
+    """Register A over four deliveries in which shops are missing now and then and licenses change."""
+    merged = registers.merge_register(frames.delivered(spark, d).drop("delivery").withColumn("name", F.concat_ws("@", "name", "srcid")))
+    states = merged.select("*", F.split_part("name", F.lit("@"), F.lit(2)).alias("delivery")).withColumn("name", F.split_part("name", F.lit("@"), F.lit(1)))
+    return history.register_history(history.keyed_states(states.withColumns({"sources": F.lit(""), "licenses": F.lit("")})))
+
+
+@query
+def register_refresh(spark, d):
+    """The bucketed register after four deliveries, one after the other."""
+    path, rows = scratch_path(spark, "refreshed"), frames.delivered(spark, d).withColumn("srcid", F.lit("reg_a"))
+    for n in range(1, frames.DELIVERIES + 1):
+        buckets.refresh(rows.where(F.col("delivery") == f"d{n}"), path, 16)
+    return buckets.merged_buckets(spark, path).drop("first_seen")
+
+
+@query
+def file_signatures(spark, d):
+    signed = signatures.file_signatures(frames.varied_files(spark, d))
+    return signed.select("file", F.array_join("titles", "|").alias("titles"), "signature")
+
+
+@query
+def near_signatures(spark, d):
+    signed = signatures.file_signatures(frames.varied_files(spark, d))
+    return signatures.near_signatures(signed, 0.75).select("signature", "other", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query
+def mapping_proposals(spark, d):
+    return signatures.propose_mappings(signatures.file_signatures(frames.varied_files(spark, d)), frames.varied_specs())
+
+
 def _file_records(spark, d):
     kind = F.split_part("source_id", F.lit("-"), F.lit(1))
     records = decode_files(frames.register_files(spark, d)).withColumn("source_id", kind)
@@ -392,6 +427,11 @@ def tile_thinning(spark, d):
     return tiles.thin_tiles(_bucketed(spark, d), 10, [F.desc("confidence"), F.asc("id")]).select("z", "x", "y", "id", "tile_rank")
 
 
+@query
+def tile_drop_densest(spark, d):
+    return thinning.drop_densest(_bucketed(spark, d), 10).select("z", "x", "y", "id")
+
+
 # ---- files --------------------------------------------------------------------------------------
 @query
 def roundtrip_parquet(spark, d):
