@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from placemill import vocab
 from placemill.functions.dates import normalize_date
 from placemill.functions.text import is_filled, join_filled, match_key, strip
+from placemill.plans.accounting import RowCounts
 from placemill.sources.inline import NUMBER, TEXT, inline_relation
 from placemill.sources.registry import SourceSpec, registry_frame
 
@@ -127,6 +128,11 @@ def merge_summary(merged: DataFrame) -> DataFrame:
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
+def counted_merge(merged: DataFrame, counted: RowCounts) -> DataFrame:
+    """The merged register with its summary observed in the pass that writes it: rows that went in, and rows that came out."""
+    return counted.after(counted.before(merged, F.col("n_rows")))
+
+
 def source_counts(rows: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
     """Coverage report: one line per registered source, also those without rows."""
     registry = registry_frame(rows.sparkSession, specs)

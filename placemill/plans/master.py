@@ -11,6 +11,7 @@ from placemill import vocab
 from placemill.functions.classify import is_noise
 from placemill.functions.geo import Degrees, Metres, parse_degrees
 from placemill.operators.numbering import number_rows
+from placemill.plans.accounting import RowCounts
 from placemill.operators.proximity import without_neighbour
 from placemill.operators.regions import assign_region, build_region_index
 
@@ -76,8 +77,12 @@ def locate(cand: DataFrame, region_edges: DataFrame) -> DataFrame:
 
 
 def build_master(places: DataFrame, tagged: DataFrame, region_edges: DataFrame,
-                 near: Degrees | Metres = NEAR, ordered: bool = True) -> DataFrame:
-    """The master table. Ids follow category, source, region and position; ``ordered=False`` skips that sort."""
-    located = locate(candidates(places, tagged, near), region_edges)
+                 near: Degrees | Metres = NEAR, ordered: bool = True, counted: RowCounts | None = None) -> DataFrame:
+    """The master table. Ids follow category, source, region and position; ``ordered=False`` skips that sort. Rows are written
+    once to be numbered; ``counted`` gets the row accounting of that very pass."""
+    cand = candidates(places, tagged, near)
+    located = locate(counted.before(cand) if counted else cand, region_edges)
+    if counted:
+        located = counted.after(located)
     order = ("cat", "src", "prefecture", "lng", "lat", "name", "brand") if ordered else ()
     return number_rows(located, "store_id", order)

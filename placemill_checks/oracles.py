@@ -334,6 +334,13 @@ ORACLES: dict[str, str] = {
     "master_counts": _with(f"{_LAYER} osm osm_fresh region_edges", f"""
       SELECT cat, CASE cat {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in vocab.MASTER_LABELS)} ELSE '{vocab.OTHER_LABEL}' END AS label, count(*) AS n
       FROM located GROUP BY cat""", _MASTER),
+    "master_counted": _with(f"{_LAYER} osm osm_fresh region_edges", """
+      SELECT cat, count(*) AS n, (SELECT count(*) FROM cand) AS n_candidates, (SELECT count(*) FROM located) AS n_master,
+        (SELECT count(*) FROM cand) - (SELECT count(*) FROM located) AS n_dropped FROM located GROUP BY cat""", _MASTER),
+    "merge_counted": _with(_REGISTERS, """
+      SELECT srcid, count(*) AS n, (SELECT sum(n_rows)::BIGINT FROM merged) AS rows_before, (SELECT count(*) FROM merged) AS rows_after,
+        (SELECT sum(n_rows)::BIGINT - count(*) FROM merged) AS rows_removed FROM merged GROUP BY srcid"""),
+    "clustered_window": _with("place", "SELECT id, category, lon, lat FROM place WHERE lon BETWEEN 131.0 AND 132.5 AND lat BETWEEN 33.5 AND 34.25"),
     "row_accounting": _with(f"{_LAYER} osm osm_fresh region_edges", """
       SELECT (SELECT count(*) FROM cand) AS n_candidates, (SELECT count(*) FROM located) AS n_master,
         (SELECT count(*) FROM cand) - (SELECT count(*) FROM located) AS n_dropped""", _MASTER),

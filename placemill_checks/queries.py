@@ -21,8 +21,10 @@ from placemill.operators.numbering import number_rows
 from placemill.operators.regions import assign_region, build_region_index, tally_regions
 from placemill.plans import master as M
 from placemill.plans import reports
-from placemill.session import scratch_path
+from placemill.plans.accounting import RowCounts
+from placemill.session import scratch_path, stable
 from placemill.sinks.features import write_geojson_lines
+from placemill.sinks.layout import write_clustered
 from placemill.sinks.tables import write_master, write_parquet, write_register_csv
 from placemill.sources import places as scans
 from placemill.sources.registers import decode_files
@@ -229,6 +231,15 @@ def master_files(spark, d):
         "store_id", "cat", "src", "prefecture", F.col("p.lng").alias("wkb_lng"), F.col("p.lat").alias("wkb_lat"), "csv_lng", "csv_lat")
 
 
+@query
+def master_counted(spark, d):
+    """Categories of the master beside the row accounting of the pass that wrote it; no row is counted a second time for it."""
+    counted = RowCounts()
+    master = M.build_master(deduped(spark, d), frames.community(spark, d), frames.region_edges(spark), counted=counted)
+    return master.groupBy("cat").agg(F.count(F.lit(1)).alias("n")).select(
+        "cat", "n", F.lit(counted.n_before).alias("n_candidates"), F.lit(counted.n_after).alias("n_master"), F.lit(counted.n_dropped).alias("n_dropped"))
+
+
 @query
 def master_counts(spark, d):
     return reports.master_counts(M.locate(_candidates(spark, d), frames.region_edges(spark)))
@@ -382,6 +393,15 @@ def registry_scan(spark, d):
         "srcid", "name", "address", "business_type", "city_raw", "license_no", "license_date", "geocoding_level", "sources")
 
 
+@query
+def merge_counted(spark, d):
+    """The merged register as written, by source list, beside the summary observed while it was written."""
+    counted = RowCounts()
+    written = stable(registers.counted_merge(merged(spark, d), counted), "merged")
+    return written.groupBy("srcid").agg(F.count(F.lit(1)).alias("n")).select(
+        "srcid", "n", F.lit(counted.n_before).alias("rows_before"), F.lit(counted.n_after).alias("rows_after"), F.lit(counted.n_dropped).alias("rows_removed"))
+
+
 # ---- map features and tiles ---------------------------------------------------------------------
 _FEATURE = """
     type string, geometry struct<type: string, coordinates: array<double>>,
@@ -440,6 +460,14 @@ def roundtrip_parquet(spark, d):
     return _joined_tags(scans.scan_places(spark, path))
 
 
+@query
+def clustered_window(spark, d):
+    """Places in a window of a layer that was written along a space-filling curve."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(frames.places(spark, d).select("id", "category", "lon", "lat"), path, F.col("lon"), F.col("lat"), group_rows=1000)
+    return scans.scan_places(spark, path).where(F.col("lon").between(131.0, 132.5) & F.col("lat").between(33.5, 34.25))
+
+
 @query
 def roundtrip_csv(spark, d):
     path = scratch_path(spark, "register")
