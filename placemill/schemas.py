@@ -13,4 +13,3 @@ PLACES_RAW = """
     sources array<struct<dataset: string>>,
     bbox struct<xmin: double, ymin: double>
 """
-REGISTER_RECORDS = "source_id string, row_pos bigint, record map<string, string>"

@@ -1,21 +1,23 @@
 """Register files of any encoding and layout as one stream of records.
 
-Files are the unit of parallelism: ``binaryFile`` spreads them over tasks, each task decodes its files and
-emits records as ``map<column, text>`` in bounded Arrow batches. All sources, however many, are one scan and one
+Files are the unit of parallelism: ``binaryFile`` spreads them over tasks, each task turns its files into chunks of text records, and
+Spark expressions parse these to ``map<column, text>``. All sources, however many, are one scan and one
 decode step driven by the registry relation, not one plan branch per source.
 """
 
 from __future__ import annotations
 
 import codecs
+import csv
 import io
+import re
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.schemas import REGISTER_RECORDS
 from placemill.sources.registry import CSV_FORMATS, SourceSpec, path_key, registry_frame
 from placemill.sources.xlsx import sheet_rows
 
@@ -50,73 +52,91 @@ def decode_text(content: bytes, encoding: str | None) -> str:
     return min(readings, key=lambda t: sum("\uff61" <= c <= "\uff9f" for c in t))
 
 
-def _csv_chunks(content: bytes, encoding: str | None, header_row: int, source_id: str):
-    import pandas as pd
+# one record of a text file: fields that begin with a quote may hold line breaks
+_QUOTED = r'"(?:[^"]|"")*+"[^,\r\n]*'
+_FIELD = rf'(?:{_QUOTED}|[^,\r\n]*)'
+_RECORD = re.compile(rf"({_FIELD}(?:,{_FIELD})*+)(?:\r\n|\n|\r|\Z)")
+_BREAK = re.compile(r"\r\n|\n|\r")
 
+
+def _records(text: str) -> Iterator[str]:
+    """The records of a text that are not blank, as they stand."""
+    if '"' not in text:
+        found = iter(_BREAK.split(text))
+    else:
+        found = (m[1] for m in _RECORD.finditer(text))
+    return (r for r in found if r and not r.isspace())
+
+
+def _csv_chunks(content: bytes, encoding: str | None, header_row: int, source_id: str) -> Iterator[tuple[list[str], list]]:
     try:
         text = decode_text(content, encoding)
     except (ValueError, LookupError) as e:
         raise ValueError(f"{source_id}: {e}") from e
-    reader = pd.read_csv(
-        io.StringIO(text), header=header_row, dtype=str, keep_default_na=False,
-        engine="python", chunksize=CHUNK_ROWS,
-    )
-    for frame in reader:
-        yield list(frame.columns), frame.fillna("").to_numpy().tolist()
+    records = _records(text)
+    head = next(islice(records, header_row, None), "")
+    titles = next(csv.reader(io.StringIO(head, newline="")), [])
+    while lines := list(islice(records, CHUNK_ROWS)):
+        yield titles, lines
 
 
-def _sheet_chunks(content: bytes, header_row: int, sheet: str):
+def _sheet_chunks(content: bytes, header_row: int, sheet: str) -> Iterator[tuple[list[str], list]]:
     rows = sheet_rows(content, int(sheet[1:]) if sheet.startswith("#") else sheet)
-    for _ in range(header_row):
-        next(rows, None)
-    columns = next(rows, [])
-    chunk = []
-    for row in rows:
-        if not any(row):
-            continue
-        chunk.append([*row, *[""] * len(columns)][: len(columns)])
-        if len(chunk) == CHUNK_ROWS:
-            yield columns, chunk
-            chunk = []
-    yield columns, chunk
-
-
-def _batch(source_id: str, start: int, columns: Sequence[str], rows: list[list[str]]) -> pa.RecordBatch:
-    """Rows as maps; column titles are stripped, and of equal titles the first counts."""
-    kept = {}
-    for position, title in enumerate(columns):
-        kept.setdefault(str(title).strip(), position)
-    n, width = len(rows), len(kept)
-    records = pa.MapArray.from_arrays(
-        pa.array(range(0, n * width + 1, width) if width else [0] * (n + 1), pa.int32()),
-        pa.array(list(kept) * n, pa.string()),
-        pa.array([row[p] for row in rows for p in kept.values()], pa.string()),
-    )
-    return pa.RecordBatch.from_arrays(
-        [pa.array([source_id] * n, pa.string()), pa.array(range(start, start + n), pa.int64()), records],
-        names=["source_id", "row_pos", "record"],
-    )
-
-
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    titles = next(islice(rows, header_row, None), [])
+    filled = ([str(c) for c in row] for row in rows if any(row))
+    while cells := list(islice(filled, CHUNK_ROWS)):
+        yield titles, cells
+
+
+_CHUNKS = "source_id string, start bigint, titles array<string>, places array<int>, lines array<string>, cells array<array<string>>"
+
+
+def _chunk(source_id: str, start: int, titles: list[str], lines: list | None, cells: list | None) -> pa.RecordBatch:
+    """Titles are stripped, and of equal ones the first counts; ``places`` are their columns."""
+    kept: dict[str, int] = {}
+    for place, title in enumerate(titles):
+        kept.setdefault(str(title).strip(), place)
+    values = [(source_id, pa.string()), (start, pa.int64()), (list(kept), pa.list_(pa.string())), (list(kept.values()), pa.list_(pa.int32())),
+              (lines, pa.list_(pa.string())), (cells, pa.list_(pa.list_(pa.string())))]
+    return pa.record_batch([pa.array([v], kind) for v, kind in values], names=[c.split()[0] for c in _CHUNKS.split(", ")])
+
+
+def _transcode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             file = batch.slice(i, 1).to_pylist()[0]
-            if file["format"] in CSV_FORMATS:
+            text = file["format"] in CSV_FORMATS
+            if text:
                 chunks = _csv_chunks(file["content"], file["encoding"], file["header_row"], file["source_id"])
             else:
                 chunks = _sheet_chunks(file["content"], file["header_row"], file["sheet"])
             start = 0
-            for columns, rows in chunks:
-                if rows:
-                    yield _batch(file["source_id"], start, columns, rows)
-                    start += len(rows)
+            for titles, rows in chunks:
+                yield _chunk(file["source_id"], start, titles, rows if text else None, None if text else rows)
+                start += len(rows)
+
+
+def fields_of(record: Column) -> Column:
+    """The fields of a record as an array: a field that begins with a quote ends at the next single one, doubled quotes inside are one."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r',("(?:[^"]|"")*+"[^,]*|[^,]*)'), F.lit(1))
+    unquoted = lambda f: F.replace(F.regexp_replace(f, r'^"((?:[^"]|"")*+)"', "$1"), F.lit('""'), F.lit('"'))
+    return F.transform(raw, lambda f: F.when(f.startswith('"'), unquoted(f)).otherwise(f))
 
 
 def decode_files(files: DataFrame) -> DataFrame:
-    """(source_id, format, encoding, header_row, sheet, content) to (source_id, row_pos, record)."""
+    """(source_id, format, encoding, header_row, sheet, content) to (source_id, row_pos, record).
+
+    Python turns bytes into text and tells records apart, and opens workbooks, the only kind that Spark has no reader for; fields
+    are parsed and named by expressions. Chunks of records are exploded, so a file's records may be spread over tasks from there on.
+    """
     needed = files.select("source_id", "format", "encoding", "header_row", "sheet", "content")
-    return needed.mapInArrow(_decode, REGISTER_RECORDS)
+    chunks = needed.mapInArrow(_transcode, _CHUNKS)
+    settled = chunks.select("source_id", "start", "titles", "places", F.posexplode(F.coalesce(
+        F.transform("lines", lambda line: F.struct(line.alias("line"), F.lit(None).cast("array<string>").alias("cells"))),
+        F.transform("cells", lambda c: F.struct(F.lit(None).cast("string").alias("line"), c.alias("cells"))))).alias("at", "row"))
+    values = settled.withColumn("values", F.coalesce("row.cells", fields_of(F.col("row.line"))))
+    named = F.transform("places", lambda p: F.coalesce(F.get("values", p), F.lit("")))
+    return values.select("source_id", (F.col("start") + F.col("at")).alias("row_pos"), F.map_from_arrays("titles", named).alias("record"))
 
 
 def with_file_settings(files: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:

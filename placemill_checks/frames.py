@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placemill.operators.registers import normalize_frame
-from placemill.session import stable
+from placemill.session import scratch_path, stable
 from placemill.sources.registry import SourceSpec
 from placemill_checks import views
 
@@ -254,3 +254,26 @@ def register_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("#0").alias("sheet"), encode(F.col("content")).alias("content"))
         files = part if files is None else files.unionByName(part)
     return files
+
+
+_landed: dict[tuple[str, str], list[SourceSpec]] = {}
+
+
+def landed_registers(spark: SparkSession, sf_dir: str) -> list[SourceSpec]:
+    """The register files below the shared folder, written once per application, and the registry entries that name them. Each file is
+    bounded (FILE_ROWS); they pass one by one through the file system that the folder is on."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        hadoop, folder = spark.sparkContext._jvm.org.apache.hadoop.fs, scratch_path(spark, "landed")
+        system = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        specs = []
+        for f in register_files(spark, sf_dir).orderBy("source_id").toLocalIterator():
+            path = f"{folder}/{f['source_id']}.{'xlsx' if f['format'] == 'excel' else 'csv'}"
+            out = system.create(hadoop.Path(path))
+            out.write(bytes(f["content"]))
+            out.close()
+            specs.append(SourceSpec(
+                f["source_id"], "P1", "M1", "own", f"Register {f['source_id']}", "CC BY 4.0", f["format"], path, encoding=f["encoding"],
+                header_row=f["header_row"], const={"prefecture": "P1", "city": "M1"}, colmap=REGISTER_COLUMNS, address_parts=("addr1", "no_such_part", "addr2")))
+        _landed[key] = specs
+    return _landed[key]

@@ -400,10 +400,12 @@ ORACLES: dict[str, str] = {
       SELECT prefecture, municipality FROM gazetteer WHERE (prefecture, municipality) NOT IN (
         SELECT (found_prefecture, found_municipality) FROM in_town WHERE srcid = 'reg_a' AND address NOT LIKE 'Town 1%' AND found_municipality IS NOT NULL)"""),
     "registry_scan": _with("reg_b norm_b", """
-      SELECT k AS srcid, name, address, business_type, 'M1' AS city_raw, license_no, license_date, geocoding_level, 'Register ' || k AS sources
-      FROM norm_b, (VALUES ('utf8'), ('sjis'), ('sjis_declared'), ('book')) AS t(k)"""),
-    "registry_missing": "SELECT k AS source_id, 'phone' AS target, 'no_such_column' AS \"column\" FROM (SELECT DISTINCT k FROM customer,"
-                        " (VALUES ('utf8'), ('sjis'), ('sjis_declared'), ('book')) AS t(k))",
+      , f AS (SELECT k || '-' || CAST(floor(row_pos / 500.0) AS BIGINT) AS file, n.* FROM norm_b n, (VALUES ('utf8'), ('sjis'), ('sjis_declared'), ('book')) AS t(k))
+      SELECT * EXCLUDE (file, source_rank) REPLACE ('M1' AS city_raw, file AS srcid, 'Register ' || file AS sources, 'CC BY 4.0' AS licenses,
+        row_number() OVER (PARTITION BY file ORDER BY row_pos) - 1 AS row_pos) FROM f"""),
+    "registry_missing": """
+      SELECT DISTINCT k || '-' || CAST(floor(c_custkey / 500.0) AS BIGINT) AS source_id, 'phone' AS target, 'no_such_column' AS "column"
+      FROM customer, (VALUES ('utf8'), ('sjis'), ('sjis_declared'), ('book')) AS t(k)""",
     "geojson_features": _with(_LAYER, _FEATURE),
     "poi_card": _with("place", f"""
       SELECT id, {_BUCKET} AS cat, coalesce(nullif(name, ''), '{vocab.NO_NAME}') AS title, coalesce(nullif(category, ''), {_BUCKET}) AS category,

@@ -22,12 +22,13 @@ from placemill.operators.regions import assign_region, build_region_index, tally
 from placemill.plans import master as M
 from placemill.plans import reports
 from placemill.plans.accounting import RowCounts
+from placemill.plans.registers import harmonised_rows
 from placemill.session import scratch_path, stable
 from placemill.sinks.features import write_geojson_lines
 from placemill.sinks.layout import write_clustered
 from placemill.sinks.tables import write_master, write_parquet, write_register_csv
 from placemill.sources import places as scans
-from placemill.sources.registers import decode_files
+from placemill.sources.registers import scan_registers
 from placemill.streaming import buckets
 from placemill_checks import frames
 
@@ -371,26 +372,16 @@ def mapping_proposals(spark, d):
     return signatures.propose_mappings(signatures.file_signatures(frames.varied_files(spark, d)), frames.varied_specs())
 
 
-def _file_records(spark, d):
-    kind = F.split_part("source_id", F.lit("-"), F.lit(1))
-    records = decode_files(frames.register_files(spark, d)).withColumn("source_id", kind)
-    return records, [
-        frames.SourceSpec(k, "P1", "M1", "own", f"Register {k}", "CC BY 4.0", "csv", f"/registers/{k}",
-                          const={"city": "M1"}, colmap=frames.REGISTER_COLUMNS, address_parts=("addr1", "no_such_part", "addr2"))
-        for k in ("utf8", "sjis", "sjis_declared", "book")
-    ]
-
-
 @query
 def registry_missing(spark, d):
-    return registers.missing_columns(*_file_records(spark, d))
+    specs = frames.landed_registers(spark, d)
+    return registers.missing_columns(scan_registers(spark, specs), specs)
 
 
 @query
 def registry_scan(spark, d):
-    """Files of four kinds decoded and harmonised by the registry relation."""
-    return registers.normalize_records(*_file_records(spark, d)).select(
-        "srcid", "name", "address", "business_type", "city_raw", "license_no", "license_date", "geocoding_level", "sources")
+    """Files of four kinds found by path, decoded and harmonised by the registry relation: all columns, source and row order."""
+    return harmonised_rows(spark, frames.landed_registers(spark, d)).drop("source_rank")
 
 
 @query

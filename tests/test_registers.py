@@ -233,3 +233,35 @@ def test_workbook_errors_hints_and_epoch():
 
     assert list(sheet_rows(book(""), 0)) == [["", "東京", "1899-12-31 00:00:00"]]
     assert list(sheet_rows(book('<workbookPr date1904="1"/>'), 0)) == [["", "東京", "1904-01-02 00:00:00"]]
+
+
+def test_records_and_fields_equal_a_csv_parser(spark):
+    import csv
+    import io
+    import random
+
+    from placemill.sources.registers import _records, fields_of
+
+    rng = random.Random(9)
+    pieces = ["", "a", "b c", "日本", '5" pipe', "x,y", 'say "hi"', "two\nlines", "cr\r\nlf", " ", '""', "'"]
+    for end in ("\r\n", "\n"):
+        rows = [[rng.choice(pieces) for _ in range(rng.randint(1, 6))] for _ in range(400)]
+        rows = [r for r in rows if any(c.strip() for c in r)]
+        text = io.StringIO(newline="")
+        csv.writer(text, lineterminator=end).writerows(rows)
+        records = list(_records(text.getvalue() + end * 2))
+        assert len(records) == len(rows)
+        got = spark.createDataFrame(list(enumerate(records)), "i int, r string").select("i", fields_of(F.col("r")).alias("f")).orderBy("i").collect()
+        assert [r.f for r in got] == rows
+    assert list(_records('a"b,c\nd')) == ['a"b,c', "d"]      # a quote inside a plain field is a character
+    assert list(_records('"open,\nnext')) and list(_records("")) == []
+
+
+def test_short_long_and_repeated_columns(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_bytes("名称, 名称 ,TEL,\r\nx\r\n\r\ny,2,3,4,5,6\r\n \r\n\"z\",\"\",\"q\"".encode())
+    got = [(r.row_pos, r.record) for r in scan_registers(spark, [spec("odd", path)]).orderBy("row_pos").collect()]
+    assert got == [(0, {"名称": "x", "TEL": "", "": ""}), (1, {"名称": "y", "TEL": "3", "": "4"}), (2, {"名称": "z", "TEL": "q", "": ""})]
+    empty = tmp_path / "empty.csv"
+    empty.write_bytes(b"\r\n\r\nname\r\n")
+    assert scan_registers(spark, [spec("empty", empty)]).count() == 0
