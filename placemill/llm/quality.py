@@ -14,6 +14,8 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -35,11 +37,34 @@ FEATURES = (
 )
 _SENTENCE_END = re.compile(r"[.!?]+(?=\s|$)")
 
-# classes of Latin-1 bytes: letter, capital, digit, stop or comma, other mark, white space
-_KINDS = np.zeros(256, np.int64)
-for _b in range(256):
-    _c = chr(_b)
-    _KINDS[_b] = 5 if _c.isspace() else 1 if _c.isupper() else 0 if _c.isalpha() else 2 if _c.isdigit() else 3 if _c in ".," else 4
+# fixed values: stops and commas, also of scripts that have their own
+_STOPS = ".,。、．，؛،।"
+
+
+def _kind(c: str) -> int:
+    """Letter, capital, digit, stop or comma, other mark, white space; by Unicode category."""
+    if c.isspace():
+        return 5
+    category = unicodedata.category(c)
+    if category[0] in "LM":
+        return 1 if category in {"Lu", "Lt"} else 0
+    return 2 if category == "Nd" or c.isdigit() else 3 if c in _STOPS else 4
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """The kind of each code point of the basic plane."""
+    return np.array([_kind(chr(c)) for c in range(1 << 16)], np.int64)
+
+
+def _kind_counts(text: str) -> np.ndarray:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    basic = codes < 1 << 16
+    counts = np.bincount(_kinds()[codes[basic]], minlength=6)
+    if not basic.all():
+        found, times = np.unique(codes[~basic], return_counts=True)
+        counts += np.bincount([_kind(chr(c)) for c in found], times, 6).astype(np.int64)
+    return counts
 
 
 def _part(some: int, of: int, usual: float) -> float:
@@ -50,7 +75,7 @@ def _part(some: int, of: int, usual: float) -> float:
 def statistics(text: str | None) -> list[float]:
     """The transformed statistics of one whole text."""
     text = text or ""
-    kinds = np.bincount(_KINDS[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)], minlength=6)
+    kinds = _kind_counts(text)
     n = len(text) + 1
     words = text.split()
     n_words = len(words)

@@ -1,4 +1,8 @@
+import math
 import zlib
+from collections import Counter
+
+import pytest
 
 from placemill.llm import langid
 from tests.llm.helpers import awkward, table
@@ -47,3 +51,27 @@ def test_keep_known_keeps_all_columns(spark):
     kept = langid.keep_known(docs, langid.fit(docs), 0.5)
     ids = [r["doc_id"] for r in kept.collect()]
     assert kept.columns == docs.columns and set(range(16, 150)) <= set(ids) and ids.count(13) == 1
+
+
+@pytest.mark.parametrize("piece", [7, 1 << 18])
+def test_scores_equal_plain_bayes(spark, monkeypatch, piece):
+    """Counts, smoothing, likelihoods and posteriors by their definitions."""
+    monkeypatch.setattr(langid, "PIECE", piece)
+    rows = corpus() + [(1000 + i, t, lang, s) for i, (_, t, lang, s) in enumerate(awkward()) if t is None or len(t) < 3000]
+    counts = {}
+    for _, text, lang, _ in rows:
+        if lang is not None and text:
+            slots = langid.gram_slots(text).tolist()
+            if slots:
+                counts.setdefault(lang, Counter()).update(slots)
+    sums = {lang: sum(c.values()) + langid.SMOOTHING * langid.SLOTS for lang, c in counts.items()}
+    model = langid.fit(table(spark, rows))
+    texts = [t for _, t, *_ in rows]
+    for text, name, score in zip(texts, *model.predict(texts), strict=True):
+        slots = Counter(langid.gram_slots(text).tolist())
+        if not slots:
+            assert (name, score) == ("und", 0.0)
+            continue
+        logs = {lang: sum(n * math.log((counts[lang][k] + langid.SMOOTHING) / sums[lang]) for k, n in slots.items()) for lang in counts}
+        best = max(logs.values())
+        assert logs[name] == pytest.approx(best, abs=1e-6) and score == pytest.approx(1 / sum(math.exp(v - best) for v in logs.values()), abs=1e-6)

@@ -56,3 +56,27 @@ def test_no_labels_and_empty_table(spark):
     none = labelled(spark, [])
     assert [(r["score"], r["predicted"]) for r in quality.judge(table(spark, [(1, "x", "", "")]), none).collect()] == [(0.5, 0)]
     assert quality.judge(table(spark, []), none).count() == 0
+
+
+def test_scores_equal_the_normal_densities(spark):
+    """Posteriors from determinants and inverses of the shrunken covariances, without factors."""
+    rows, labels = corpus()
+    known = [(v, q) for (i, t, *_), (_, q, _) in zip(rows, labels, strict=True) for v in [np.array(quality.statistics(t))] if zlib.crc32(str(i).encode()) % 4 != 2]
+    logs = []
+    for label in (0, 1):
+        own = np.array([v for v, q in known if q == label])
+        cov = np.cov(own.T, bias=True)
+        cov = (1 - quality.SHRINKAGE) * (cov + quality.FLOOR * np.eye(len(cov))) + quality.SHRINKAGE * np.diag(np.diag(cov) + quality.FLOOR)
+        inverse, det, prior = np.linalg.inv(cov), np.linalg.slogdet(cov)[1], np.log(len(own) / len(known))
+        logs.append(lambda v, m=own.mean(0), inverse=inverse, det=det, prior=prior: prior - 0.5 * (det + (v - m) @ inverse @ (v - m)))
+    for r in quality.judge(table(spark, rows), labelled(spark, labels)).collect():
+        v = np.array(quality.statistics(dict((i, t) for i, t, *_ in rows)[r["doc_id"]]))
+        assert np.isclose(r["score"], 1 / (1 + np.exp(np.clip(logs[0](v) - logs[1](v), -700, 700))), atol=1e-5)
+
+
+def test_other_scripts_have_letters_too():
+    feature = {name: i for i, name in enumerate(quality.FEATURES)}
+    for text in ("Это обычный русский текст, без знаков.", "Αυτό είναι ένα κείμενο, χωρίς σημεία.", "これは普通の文章です、記号はありません。", "𐐨𐐩𐐪 𐐫𐐬 𐐭."):
+        letters, marks = (quality.statistics(text * 20)[feature[f]] for f in ("letters", "other marks"))
+        assert letters > 0.8 and marks < 0.1, text
+    assert quality.statistics("“Curly” – dashes…")[feature["other marks"]] > quality.statistics("Curly dashes")[feature["other marks"]]
