@@ -1,8 +1,9 @@
-"""Repeated byte strings across documents, by bucket-pointer refinement of suffixes.
+"""Repeated byte strings across documents, by refining buckets of suffixes.
 
 Suffixes are first put into buckets of equal q-grams. Buckets with one member are done; the others are refined by the bucket
 identifiers of later offsets, until a bucket stands for equal strings of ``LENGTH`` bytes. Identifiers are 64-bit hashes,
-so suffixes of one bucket meet wherever their documents lie. Three refinements suffice:
+so suffixes of one bucket meet wherever their documents lie, and equal identifiers count as equal strings. Three fixed
+refinements of anchors take the place of a recursion over all suffixes, which bounds LENGTH by 2 * Q:
 
 1. Of every LENGTH-byte window only the smallest q-gram bucket inside is looked at (its anchor), so a run of windows
    shares one suffix. Which anchors are alone in the whole input? Those are done.
