@@ -35,7 +35,7 @@ def records(rng, n, spread):
 SCHEMA = "id int, name string, lon double, lat double"
 
 
-@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+@pytest.mark.parametrize("edits", [0, 2, 3])
 def test_pairs_equal_brute_force(spark, edits):
     rng = random.Random(edits)
     left, right = records(rng, 120, 0.03), records(rng, 120, 0.03)

@@ -31,8 +31,7 @@ def cloud(rng, n, lon, lat, spread, keys=("a", "b", None)):
     return [(rng.choice(keys), (lon + rng.uniform(-spread, spread), lat + rng.uniform(-spread, spread))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("lon,lat", [(135.0, 35.0), (0.0, 0.0), (20.0, 69.0), (-70.0, -33.0)])
-@pytest.mark.parametrize("k", [1, 3])
+@pytest.mark.parametrize("lon,lat,k", [(135.0, 35.0, 1), (0.0, 0.0, 3), (20.0, 69.0, 3), (-70.0, -33.0, 1)])
 def test_equals_brute_force(spark, lon, lat, k):
     rng = random.Random(f"{lon}{k}")
     left = cloud(rng, 150, lon, lat, 0.02) + cloud(rng, 40, lon, lat, 0.0003)

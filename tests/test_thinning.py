@@ -39,7 +39,7 @@ def test_equals_brute_force(spark):
     points += [(1000 + i, 139.5 + rng.gauss(0, 0.002), 35.5 + rng.gauss(0, 0.002)) for i in range(300)]
     points += [(2000 + i, 139.25, 35.25) for i in range(40)]  # one spot
     rows = spark.createDataFrame([*points, (5000, None, 35.0), (5001, math.nan, 35.0)], "id int, lon double, lat double").repartition(7)
-    for per_tile in (1, 8, 50):
+    for per_tile in (1, 8):
         got = t.drop_densest(rows, per_tile, 9)
         assert got.columns == ["z", "x", "y", "id", "lon", "lat"]
         assert {(r.z, r.x, r.y, r.id) for r in got.collect()} == brute(points, per_tile, 9)
