@@ -2,8 +2,7 @@
 
 Texts are lower-cased letters with one space for everything else. The n-grams of one to three characters are hashed to
 ``SLOTS`` columns; counts per language make a matrix of log probabilities (languages x slots, fixed width), which is
-broadcast. A batch of texts is scored sparsely: the rows of that matrix which its n-grams name are gathered and added up per text.
-A score is the posterior probability of the language predicted.
+broadcast. A batch of texts is scored sparsely, from its distinct pairs of text and slot. A score is the posterior probability of the language predicted.
 
 The model is fitted on ``TRAIN_DOCS`` labelled documents at most, chosen by a hash of doc_id.
 
@@ -14,6 +13,7 @@ scored alike; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +28,7 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 TRAIN_DOCS = 20_000
 UNKNOWN = "und"
-PIECE = 1 << 18  # n-grams scored at a time
+PIECE = 1 << 18  # pairs of text and slot scored at a time
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -105,29 +105,34 @@ class Model:
     def __init__(self, langs: list[str], counts: np.ndarray):
         self.langs = langs
         smooth = counts + SMOOTHING
-        self.log_p = np.log(smooth / smooth.sum(1, keepdims=True)).T.copy() if langs else None
-
-    def likelihoods(self, slots: list[np.ndarray]) -> np.ndarray:
-        """The log likelihood of each text (rows) in each language: the log probabilities of its n-grams are gathered and added up by
-        text, for a batch at once and ``PIECE`` n-grams at a time. No text becomes a vector over all slots."""
-        out = np.zeros((len(slots), len(self.langs)))
-        flat = np.concatenate([np.zeros(0, np.int64), *slots])
-        owner = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
+        self.log_p = np.log(smooth / smooth.sum(1, keepdims=True)) if langs else None
+
+    def likelihoods(self, slots: Iterable[np.ndarray]) -> np.ndarray:
+        """The log likelihood of each text (rows) in each language. A batch is its distinct (text, slot) pairs with their counts; per
+        language their log probabilities are gathered, weighed and added up by text, ``PIECE`` pairs at a time."""
+        distinct, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for own in slots:  # of a text's n-grams no more is held than its pairs
+            counts = np.bincount(own)
+            distinct.append(np.flatnonzero(counts))
+            times.append(counts[distinct[-1]])
+        owner = np.repeat(np.arange(len(distinct) - 1), [len(d) for d in distinct[1:]])
+        flat, weight = np.concatenate(distinct), np.concatenate(times)
+        out = np.zeros((len(distinct) - 1, len(self.langs)))
         for i in range(0, len(flat), PIECE):
-            own = owner[i:i + PIECE]
+            own, slot, n = owner[i:i + PIECE], flat[i:i + PIECE], weight[i:i + PIECE]
             starts = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])
-            out[own[starts]] += np.add.reduceat(self.log_p[flat[i:i + PIECE]], starts, axis=0)
+            for k in range(len(self.langs)):
+                out[own[starts], k] += np.add.reduceat(self.log_p[k][slot] * n, starts)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        slots = [gram_slots(t) for t in texts] if self.langs else []
-        told = [i for i, s in enumerate(slots) if len(s)]
-        found = self.likelihoods([slots[i] for i in told])
-        for i, likelihood in zip(told, found, strict=True):
-            best = int(likelihood.argmax())
-            names[i] = self.langs[best]
-            scores[i] = float(1 / np.exp(likelihood - likelihood[best]).sum())
+        found = self.likelihoods(map(gram_slots, texts)) if self.langs else ()
+        for i, likelihood in enumerate(found):
+            if likelihood.any():  # a text with letters has an n-gram, whose probability is below 1
+                best = int(likelihood.argmax())
+                names[i] = self.langs[best]
+                scores[i] = float(1 / np.exp(likelihood - likelihood[best]).sum())
         return names, scores
 
 

@@ -29,7 +29,7 @@ def test_held_out_accuracy(spark):
 
 def test_counts_and_bounds(spark):
     model = langid.fit(table(spark, corpus()), train_docs=30)
-    assert model.langs == ["de", "en", "fr"] and model.log_p.shape == (langid.SLOTS, 3)
+    assert model.langs == ["de", "en", "fr"] and model.log_p.shape == (3, langid.SLOTS)
 
 
 def test_awkward_rows(spark):
