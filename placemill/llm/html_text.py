@@ -2,9 +2,11 @@ r"""Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one per block of text in page order. The text of menus, headers, footers, sidebars, notices,
 adverts, forms, scripts and reader comments leaves a line of length 0 where it stood; text inside links does not count
-as length. Over windows of ``WINDOW`` lines the lengths are summed. A run of text begins where the sums surge above 0
-and ends where they dive back to 0; the runs that reach the threshold are kept with all their lines. This decides on every
-page: an article element only makes text in its links count as length.
+as length. Containers outside an article stand ``WINDOW`` empty lines apart. Over windows of ``WINDOW`` lines the lengths are
+summed. A run of text begins where the sums surge above 0 and ends where they dive back to 0. Main text reaches from the
+surge of the first run whose sums come up to the threshold to the dive of the last one; runs between them are kept whole. The
+threshold is ``LONG_RUN``, or on pages of short texts ``SHARE`` of the page's largest sum. This decides on every page: an article
+element only makes text in its links count as length and keeps its containers together.
 
 Defined results: a NULL or empty html gives an empty text; a page that breaks off inside a tag, comment, script or
 style loses that rest; repeated rows are extracted alike; an empty table gives an empty result; other columns are
@@ -23,13 +25,15 @@ from pyspark.sql import functions as F
 from placemill.llm.common import map_batches
 
 WINDOW = 3      # lines summed at a time
-LONG_RUN = 80   # characters outside links in one window that make a run of lines main text
+LONG_RUN = 240  # characters outside links in one window that make a run of lines main text,
+SHARE = 1 / 3   # or this share of the page's largest window, if that is less
 
 # fixed values: element names of HTML by their effect on the text
 UNSEEN = {"head", "title", "script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio",
           "video", "select", "button", "textarea", "datalist", "map"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "search"}
 MAIN = {"article", "main"}
+CONTAINERS = {"body", "div", "section", "center", "details", "fieldset", "table"} | ASIDE | MAIN
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
           "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
           "var", "wbr", "img", "picture", "source", "br", "input"}
@@ -88,6 +92,10 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         buffer.clear()
         linked = 0
 
+    def part() -> None:
+        while not main and lines and any(text for text, _, _ in lines[-WINDOW:]):
+            lines.append(("", 0, False))
+
     for token in _TOKEN.finditer(page):
         start = token.start()
         if start < at:
@@ -113,6 +121,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 continue
             if skipped_text:
                 lines.append(("", 0, main > 0))
+                if skipped in CONTAINERS:
+                    part()
             at_main = depth > 0
             skipped, depth = "", 0
             if not at_main:
@@ -137,8 +147,11 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 buffer.append(" ")
             continue
         flush()
+        if name in CONTAINERS:
+            part()
         if name in MAIN or (not closing and _BODY.search(attributes)):
             main = max(0, main + (-1 if closing else 1)) if name in MAIN else 1
+            part()
     if not skipped:
         buffer.append(page[at:])
     flush()
@@ -146,11 +159,11 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 
 
 def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
-    """The lines between surge and dive of the window sums."""
+    """The lines from the first surge to the last dive of the window sums that come up to the threshold."""
     sizes = [0 if not text else len(text) if main else n for text, n, main in lines]
     sums = [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
-    threshold = min(LONG_RUN, max(sums, default=0))
-    kept: list[str] = []
+    threshold = max(1, min(LONG_RUN, SHARE * max(sums, default=0)))
+    runs: list[tuple[int, int, bool]] = []
     i = 0
     while i < len(sums):
         if not sums[i]:
@@ -159,12 +172,14 @@ def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
         dive = i
         while dive < len(sums) and sums[dive]:
             dive += 1
-        if max(sums[i:dive]) >= max(1, threshold):
-            while not sizes[i]:  # a window sees the surge before its first line does
-                i += 1
-            kept += [text for text, _, _ in lines[i:dive] if text]
+        surge = i
+        while not sizes[surge]:  # a window sees the surge before its first line does
+            surge += 1
+        runs.append((surge, dive, max(sums[i:dive]) >= threshold))
         i = dive
-    return kept
+    high = [k for k, run in enumerate(runs) if run[2]]
+    kept = runs[high[0]:high[-1] + 1] if high else []
+    return [text for surge, dive, _ in kept for text, _, _ in lines[surge:dive] if text]
 
 
 def main_text(page: str | None) -> str:

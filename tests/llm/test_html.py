@@ -1,6 +1,10 @@
+import random
+import re
+
+import pyarrow.parquet as pq
 import pytest
 
-from placemill.llm.html_text import extract, main_text
+from placemill.llm.html_text import LONG_RUN, SHARE, WINDOW, extract, main_lines, main_text, page_lines
 
 CASES = [
     (None, ""), ("", ""), ("plain   text", "plain text"),
@@ -44,3 +48,45 @@ def test_extract(spark):
     assert len(got) == len(rows)
     assert {r["page_id"]: (r["text"], r["n_chars"]) for r in got if r["page_id"] == 3} == {3: (CASES[3][1], len(CASES[3][1]))}
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def plain_main_lines(lines):
+    """The rule of the module, one line at a time."""
+    size = lambda i: 0 if i >= len(lines) or not lines[i][0] else len(lines[i][0]) if lines[i][2] else lines[i][1]
+    total = [sum(size(i + k) for k in range(WINDOW)) for i in range(len(lines))]
+    needed = max(1, min(LONG_RUN, max(total, default=0) * SHARE))
+    run_of, runs = {}, 0
+    for i, t in enumerate(total):
+        if t:
+            runs += i == 0 or not total[i - 1]
+            run_of[i] = runs
+    high = {run for i, run in run_of.items() if total[i] >= needed}
+    begun, kept = set(), []
+    for i, (text, _, _) in enumerate(lines):
+        run = run_of.get(i)
+        if run and min(high, default=run + 1) <= run <= max(high, default=0):
+            if size(i):
+                begun.add(run)
+            if text and run in begun:
+                kept.append(text)
+    return kept
+
+
+def test_windows_against_a_plain_rule():
+    draw = random.Random(5)
+    for _ in range(3_000):
+        lines = []
+        for _ in range(draw.randint(0, 30)):
+            text = "x" * draw.choice([0, 0, 1, 20, 90, 200, 500])
+            lines.append((text, draw.choice([0, len(text)]), bool(text) and draw.random() < 0.2))
+        assert main_lines(lines) == plain_main_lines(lines)
+
+
+def test_pages_whose_boilerplate_has_no_telling_names():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column(0).to_pylist()
+    same = 0
+    for page in pages:
+        plain = re.sub(r"<(/?)(?:nav|footer|article)\b", r"<\1div", page.replace(' class="ad"', ""))
+        assert plain != page and main_text(plain) != "\n\n".join(t for t, _, _ in page_lines(plain) if t)
+        same += main_text(plain) == main_text(page)
+    assert same >= 0.9 * len(pages)  # the rest are articles shorter than their adverts and footers
