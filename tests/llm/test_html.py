@@ -89,4 +89,4 @@ def test_pages_whose_boilerplate_has_no_telling_names():
         plain = re.sub(r"<(/?)(?:nav|footer|article)\b", r"<\1div", page.replace(' class="ad"', ""))
         assert plain != page and main_text(plain) != "\n\n".join(t for t, _, _ in page_lines(plain) if t)
         same += main_text(plain) == main_text(page)
-    assert same >= 0.9 * len(pages)  # the rest are articles shorter than their adverts and footers
+    assert same >= 0.9 * len(pages)  # short articles are hard to tell from adverts and footers
