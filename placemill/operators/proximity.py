@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill.functions.geo import Degrees, Metres, SearchGrid, is_point
+from placemill.session import shuffled
 
 
 def _matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, also: Column | None = None) -> DataFrame:
     """Left rows with (or without) a right row of equal keys; right columns are told apart by a prefix."""
-    right = right.withColumnsRenamed({k: f"r{k}" for k in keys})
+    right = shuffled(right.withColumnsRenamed({k: f"r{k}" for k in keys}))
     condition = F.lit(True) if also is None else also
     for k in keys:
         condition = (F.col(k) == F.col(f"r{k}")) & condition

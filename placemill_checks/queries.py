@@ -23,7 +23,7 @@ from placemill.plans import master as M
 from placemill.plans import reports
 from placemill.plans.accounting import RowCounts
 from placemill.plans.registers import harmonised_rows
-from placemill.session import scratch_path, stable
+from placemill.session import scratch_path, shuffled, stable
 from placemill.sinks.features import write_geojson_lines
 from placemill.sinks.layout import write_clustered
 from placemill.sinks.tables import write_master, write_parquet, write_register_csv
@@ -228,7 +228,7 @@ def master_files(spark, d):
     points = spark.read.parquet(parquet).select("store_id", "cat", "src", "prefecture", _point("geom").alias("p"))
     text = spark.read.csv(csv, header=True, escape='"').select(
         F.col("store_id").cast("bigint"), F.col("lng").cast("double").alias("csv_lng"), F.col("lat").cast("double").alias("csv_lat"))
-    return points.join(text, "store_id").select(
+    return points.join(shuffled(text), "store_id").select(
         "store_id", "cat", "src", "prefecture", F.col("p.lng").alias("wkb_lng"), F.col("p.lat").alias("wkb_lat"), "csv_lng", "csv_lat")
 
 
