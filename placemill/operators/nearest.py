@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from placemill.functions.geo import Metres, SearchGrid, equirectangular_m, is_point
 from placemill.operators.proximity import candidate_copies
-from placemill.session import stable
+from placemill.session import shuffled, stable
 
 FIRST_METRES = 50.0
 GROWTH = 5.0
@@ -43,7 +43,7 @@ def _ring(spots: DataFrame, partners: DataFrame, radius_m: float, k: int, keys:
     wanted = placed.select(*keys, "_wx", "_wy", F.pmod(F.xxhash64("_x", "_y"), F.lit(4)).alias("_slice")).distinct().drop("_slice")
     copies = candidate_copies(partners, wanted, grid, keys).withColumnsRenamed({c: f"r{c}" for c in [*keys, "_wx", "_wy"]})
     same = reduce(lambda c, k: c & (F.col(k) == F.col(f"r{k}")), [*keys, "_wx", "_wy"], metric.within(x, y, px, py))
-    found = placed.join(copies, same).select("_spot", F.round(equirectangular_m(x, y, px, py), PRECISION).alias("metres"), F.col("_pid").alias("id"))
+    found = placed.join(shuffled(copies), same).select("_spot", F.round(equirectangular_m(x, y, px, py), PRECISION).alias("metres"), F.col("_pid").alias("id"))
     if k == 1:
         return found.groupBy("_spot").agg(F.array(F.min(F.struct("metres", "id"))).alias("neighbours"))
     nearest = Window.partitionBy("_spot").orderBy("metres", "id")
@@ -79,10 +79,10 @@ def nearest_neighbours(rows: DataFrame, partners: DataFrame, widest_m: float, k:
         hits = _ring(left, found, radius, k, keys)
         if i + 1 < len(radii):
             hits = stable(hits.where(F.size("neighbours") >= k), "ring")
-            left = left.join(hits.select("_spot"), "_spot", "left_anti")
+            left = left.join(shuffled(hits.select("_spot")), "_spot", "left_anti")
         done.append(hits)
     everything = reduce(DataFrame.unionByName, done).withColumnRenamed("_spot", "_of")
     own = F.when(usable, F.struct(*key_of, x.alias("_x"), y.alias("_y")))
-    joined = rows.withColumn("_spot", own).join(everything, F.col("_spot") == F.col("_of"), "left")
+    joined = rows.withColumn("_spot", own).join(shuffled(everything), F.col("_spot") == F.col("_of"), "left")
     none = F.array().cast(everything.schema["neighbours"].dataType)
     return joined.select(*rows.columns, F.coalesce("neighbours", none).alias("neighbours"))
