@@ -18,8 +18,12 @@
   these texts are sorted by their sketches under ``ORDERS`` permutations of the samples, by range partitions, so that no
   key is hot; similar texts share long beginnings and lie close together. Each is compared with the ``REACH`` texts before it by
   sketch, and the one of another class that agrees best, in ``LONG_AGREEING`` places at least, is verified: never more pairs than
-  ``ORDERS`` times the texts, whatever their groups. Two rounds at least, then further permutations until one links few of its
-  pairs (``PAYING``).
+  ``ORDERS`` times the texts, whatever their groups. This is done once.
+* What is left in buckets of several classes is compared in full: texts that hang together by such buckets are one group, a group is
+  dealt into blocks of about ``BLOCK`` texts, and each two blocks meet in a task, which compares every pair of texts of different classes
+  that share a bucket, by sketch and then by text, and contracts what it links. So no pair of a shared bucket is left out, whatever the
+  rounds before have met. Memory is that of two blocks; only links leave a task. The time is the square of the texts of a group that
+  share a bucket with another class.
 * With ``exact`` a join on prefixes follows, which leaves no pair to chance among texts that share a bucket with another class: of
   two texts at least ``SIMILARITY`` alike, each can miss only a share of its weight in the other, so with the shingles of both in
   one order, rarest first, their first common shingle lies within that share. It emits all pairs that meet so, the square of the
@@ -56,6 +60,7 @@ QUICK_ROUNDS = 3  # rounds that compare each text with one pick only, before tho
 
 LONG, LONG_AGREEING = 192, 140  # samples of the second sketch, and places to agree in (at 0.8 one pair in a hundred has fewer)
 ORDERS, REACH = 12, 128
+BLOCK = 1024  # texts of a group that meet those of another block in a task
 
 _SAMPLES = BANDS * ROWS
 _TABLE_BITS = 14
@@ -247,6 +252,98 @@ def neighbours(rooted: DataFrame, turn: int) -> DataFrame:
     return stream_batches(lined, compared, "a long, b long, root_a long, root_b long").distinct()
 
 
+class _Classes:
+    """Classes joined in a task."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = x = self.parent.get(up, up)
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.parent[self.find(x)] = self.find(y)
+
+
+def _links_between(rows: list[dict], idf: np.ndarray, similarity: float, same_block: bool, low: int) -> list[tuple[int, int, int, int]]:
+    """Links among texts (node, root, at, buckets, sketch, text) of one block, or between those of block ``low`` and of another: of all pairs of
+    different classes that share a bucket, without those whose classes are linked by then."""
+    root = np.array([r["root"] for r in rows])
+    if (root == root[0]).all():
+        return []
+    sketch = np.array([r["sketch"] for r in rows], np.int16)
+    first = np.array([r["at"] == low for r in rows])
+    index: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        for b in r["buckets"]:
+            index.setdefault(b, []).append(i)
+    held = {b: np.array(i) for b, i in index.items() if len(i) > 1}
+    sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    classes, links = _Classes(), []
+
+    def shingles(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in sets:
+            sets[i] = weighed(words(rows[i]["text"]), idf)
+        return sets[i]
+
+    for i, r in enumerate(rows):
+        if not (same_block or first[i]):
+            continue
+        meets = np.zeros(len(rows), bool)
+        for b in r["buckets"]:
+            if b in held:
+                meets[held[b]] = True
+        meets[:i + 1 if same_block else 0] = False
+        if not same_block:
+            meets &= ~first
+        meets &= root != root[i]
+        others = np.flatnonzero(meets)
+        agree = (sketch[others] == sketch[i]).sum(1)
+        for j in others[agree >= LEAST_AGREEING][np.argsort(-agree[agree >= LEAST_AGREEING], kind="stable")]:
+            x, y = int(root[i]), int(root[j])
+            if classes.find(x) != classes.find(y) and weighted_jaccard(shingles(i), shingles(j)) >= similarity:
+                classes.join(x, y)
+                links.append((r["node"], rows[j]["node"], x, y))
+    return links
+
+
+def links_left(members: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
+    """(a, b, root_a, root_b): links by which all texts of shared buckets (of one band, which those of two lie within) that are similar come
+    into one class."""
+    coarse = members.where("weight = 1")
+    hub = coarse.groupBy("bucket").agg(F.min("node").alias("hub"))
+    groups = components(coarse.join(hub, "bucket").select(F.col("node").alias("a"), F.col("hub").alias("b")).where("a <> b").distinct())
+    held = coarse.groupBy("node").agg(F.first("root").alias("root"), F.collect_set("bucket").alias("buckets"), F.first("sketch").alias("sketch"))
+    placed = stable(held.join(groups.withColumnRenamed("root", "group"), "node").join(texts.select(F.col("row").alias("node"), "text"), "node"), "in-doubt")
+    blocks = placed.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+    at = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
+    copies = placed.join(blocks, "group").withColumn("at", at).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    keyed = copies.select("group", F.least("at", "other").alias("low"), F.greatest("at", "other").alias("high"), "at", "node", "root", "buckets", "sketch", "text")
+
+    def each(batches):
+        key, rows = None, []
+
+        def compared() -> pa.RecordBatch:
+            found = _links_between(rows, idf.value, similarity, key[1] == key[2], key[1])
+            return pa.record_batch([pa.array([f[i] for f in found], pa.int64()) for i in range(4)], names=["a", "b", "root_a", "root_b"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = (row["group"], row["low"], row["high"])
+                if own != key and rows:
+                    yield compared()
+                    rows = []
+                key = own
+                rows.append(row)
+        if rows:
+            yield compared()
+
+    dealt = keyed.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "node")
+    return stream_batches(dealt, each, "a long, b long, root_a long, root_b long")
+
+
 def rarities(texts: DataFrame) -> np.ndarray:
     """The number of texts in each of ORDER_SLOTS hashed slots of shingles; that many numbers reach the driver."""
     def each(batches):
@@ -329,8 +426,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, exact: bool =
 
     def linked(pairs: DataFrame) -> int:
         """Verify pairs and contract the classes that they link; the number of links."""
+        return contracted(stable(verified(pairs, texts_shared, idf, similarity), "links"))
+
+    def contracted(links: DataFrame) -> int:
         nonlocal members
-        links = stable(verified(pairs, texts_shared, idf, similarity), "links")
         if found := links.count():
             moves.append(components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))))
             members = stable(spanning(relabelled(members, moves[-1])), "buckets")
@@ -346,14 +445,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, exact: bool =
             break
     if not members.isEmpty():
         left = texts_shared.withColumnRenamed("row", "node").join(members.select("node").distinct(), "node", "left_semi")
-        sketches, tested, rounds = stable(long_sketches(left, idf), "sketches"), None, 0
-        while True:
-            near = neighbours(members.select("node", "root").distinct().join(sketches, "node"), turn)
-            pairs = stable(near if tested is None else near.join(tested, ["a", "b"], "left_anti"), "pairs")
-            tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
-            turn, rounds, found = turn + 1, rounds + 1, linked(pairs)
-            if members.isEmpty() or rounds >= 2 and found * PAYING <= pairs.count():
-                break
+        sketches = stable(long_sketches(left, idf), "sketches")
+        linked(stable(neighbours(members.select("node", "root").distinct().join(sketches, "node"), turn), "pairs"))
+    if not members.isEmpty():
+        contracted(stable(links_left(members, texts_shared, idf, similarity), "links"))
     if exact and not members.isEmpty():
         linked(stable(all_candidates(members, texts_shared, idf, similarity), "pairs"))
     named = reduce(relabelled, moves, firsts.withColumn("root", F.col("node")))

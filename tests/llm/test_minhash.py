@@ -165,3 +165,16 @@ def test_chunks_are_contracted_to_their_first_nodes(monkeypatch):
                 group[z] = both
         want = {(x, min(g, key=order.get)) for x, g in group.items() if x != min(g, key=order.get)}
         assert set(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True)) == want
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_all_pairs_of_shared_buckets_are_compared(spark, monkeypatch, tmp_path, block):
+    """With no pair met by picks or neighbours, what is left is linked in full: the classes of all similar pairs that share a bucket."""
+    monkeypatch.setattr(m, "BLOCK", block)
+    monkeypatch.setattr(m, "candidates", lambda members, turn, every: members.select(*[F.col(x).alias(y) for x, y in (
+        ("node", "a"), ("node", "b"), ("root", "root_a"), ("root", "root_b"))]).where("false"))
+    monkeypatch.setattr(m, "neighbours", lambda rooted, turn: m.candidates(rooted, turn, True))
+    rows = [(i, edited(prose(100, 300 + i % 3), i, i % 4), "en", "a") for i in range(90)]
+    got = {r["doc_id"]: r["class_id"] for r in m.near_classes(stored(spark, rows, tmp_path)).collect()}
+    texts = [r[1] for r in rows]
+    assert same_partition([got[r[0]] for r in rows], brute_classes(texts, idf_of(texts)))
