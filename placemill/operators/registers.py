@@ -13,7 +13,7 @@ from placemill.functions.dates import normalize_date
 from placemill.functions.text import is_filled, join_filled, match_key, strip
 from placemill.plans.accounting import RowCounts
 from placemill.sources.inline import NUMBER, TEXT, inline_relation
-from placemill.sources.registry import SourceSpec, registry_frame
+from placemill.sources.registry import SourceSpec, registry_frame, registry_side
 
 _DERIVED = ("geocoding_level", "sources", "licenses")
 _MAPPED = [c for c in vocab.REGISTER_COLUMNS if c not in _DERIVED]
@@ -59,13 +59,14 @@ def normalize_frame(raw: DataFrame, spec: SourceSpec, rank: int = 0) -> DataFram
     return _finish(values, raw, F.lit(spec.id), F.lit(rank).cast("bigint"), F.lit(spec.source_name), F.lit(spec.license), dates)
 
 
-def _settings(spark, specs: Sequence[SourceSpec]) -> DataFrame:
-    """The registry, ready to be sent to every task: it is a list held by the caller, one entry per register,
-    and joining by shuffle would gather a large register's records in one task."""
-    return F.broadcast(registry_frame(spark, specs))
+def _settings(spark, specs: Sequence[SourceSpec] | DataFrame) -> DataFrame:
+    """The registry, ready to be sent to every task if it is a list held by the caller, one entry per register:
+    joining by shuffle would gather a large register's records in one task. A table of many registers is shuffled, and a
+    large register left to adaptive execution."""
+    return registry_side(specs, registry_frame(spark, specs))
 
 
-def normalize_records(records: DataFrame, specs: Sequence[SourceSpec], extra: Sequence[str] = ()) -> DataFrame:
+def normalize_records(records: DataFrame, specs: Sequence[SourceSpec] | DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Records of any number of registers, each by its own registry entry; columns named in ``extra`` come along."""
     config = _settings(records.sparkSession, specs)
     rows = records.join(config.drop("pref", "muni", "route", "format", "path", "url", "encoding"), "source_id")
@@ -84,11 +85,11 @@ def normalize_records(records: DataFrame, specs: Sequence[SourceSpec], extra: Se
     return _finish(values, rows, F.col("source_id"), F.col("source_rank"), F.col("source_name"), F.col("license"), extra=extra)
 
 
-def missing_columns(records: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
+def missing_columns(records: DataFrame, specs: Sequence[SourceSpec] | DataFrame) -> DataFrame:
     """Mapped columns a register's files lack: (source_id, target, column)."""
     titles = records.select("source_id", F.explode(F.map_keys("record")).alias("title")).groupBy("source_id").agg(
         F.collect_set("title").alias("titles"))
-    wanted = _settings(records.sparkSession, specs).select("source_id", F.explode("colmap").alias("target", "column"))
+    wanted = registry_side(specs, registry_frame(records.sparkSession, specs).select("source_id", F.explode("colmap").alias("target", "column")))
     return titles.join(wanted, "source_id").where(~F.array_contains("titles", F.col("column"))).drop("titles")
 
 

@@ -11,8 +11,8 @@ from placemill.sources.registers import scan_registers
 from placemill.sources.registry import SourceSpec
 
 
-def harmonised_rows(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
-    return normalize_records(scan_registers(spark, specs), specs)
+def harmonised_rows(spark: SparkSession, specs: Sequence[SourceSpec] | DataFrame, folder: str | None = None) -> DataFrame:
+    return normalize_records(scan_registers(spark, specs, folder), specs)
 
 
 def merged_register(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:

@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.sources.registry import CSV_FORMATS, SourceSpec, path_key, registry_frame
+from placemill.session import shuffled
+from placemill.sources.registry import CSV_FORMATS, SourceSpec, path_key, registry_frame, registry_side
 from placemill.sources.xlsx import sheet_rows
 
 CHUNK_ROWS = 5000
@@ -139,20 +140,28 @@ def decode_files(files: DataFrame) -> DataFrame:
     return values.select("source_id", (F.col("start") + F.col("at")).alias("row_pos"), F.map_from_arrays("titles", named).alias("record"))
 
 
-def with_file_settings(files: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
-    """Attach the registry settings to listed files by path; a file gets one row per entry that names it. The registry is
-    the caller's own list, so the file contents stay where they are and the settings are broadcast."""
+def with_file_settings(files: DataFrame, specs: Sequence[SourceSpec] | DataFrame) -> DataFrame:
+    """Attach the registry settings to listed files by path; a file gets one row per entry that names it. If the registry is
+    the caller's own list, the file contents stay where they are and the settings are broadcast."""
     settings = registry_frame(files.sparkSession, specs).select(
         path_key(F.col("path")).alias("_key"), "source_id", "format", "encoding", "header_row", "sheet")
-    return files.select(path_key(F.col("path")).alias("_key"), "content").join(F.broadcast(settings), "_key")
+    return files.select(path_key(F.col("path")).alias("_key"), "content").join(registry_side(specs, settings), "_key")
 
 
-def scan_registers(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
+def listed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All files below a folder."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+
+
+def scan_registers(spark: SparkSession, specs: Sequence[SourceSpec] | DataFrame, folder: str | None = None) -> DataFrame:
     """Records of all registered files in one scan. A path that several entries name is read once; an entry without a file
-    is an error."""
-    files = spark.read.format("binaryFile").load(list(dict.fromkeys(s.path for s in specs)))
+    is an error. A registry that is a table needs the ``folder`` that its files lie below; others there are left out."""
+    if isinstance(specs, DataFrame):
+        files = listed_files(spark, folder)
+    else:
+        files = spark.read.format("binaryFile").load(list(dict.fromkeys(s.path for s in specs)))
     keys = registry_frame(spark, specs).select("source_id", path_key(F.col("path")).alias("_key"))
-    missing = keys.join(files.select(path_key(F.col("path")).alias("_key")), "_key", "left_anti").select("source_id").collect()
+    missing = keys.join(shuffled(files.select(path_key(F.col("path")).alias("_key"))), "_key", "left_anti").select("source_id").collect()
     if missing:
         raise FileNotFoundError(f"no file for {sorted(r['source_id'] for r in missing)}")
     return decode_files(with_file_settings(files, specs))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placemill.session import shuffled
 from placemill.sources.inline import NUMBER, TEXT, TEXT_LIST, TEXT_MAP, inline_relation
 
 CSV_FORMATS = ("csv", "fas")
@@ -46,8 +47,11 @@ REGISTRY_COLUMNS = {
 }
 
 
-def registry_frame(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
-    """The registry as a relation; ``source_rank`` keeps the order sources are listed in."""
+def registry_frame(spark: SparkSession, specs: Sequence[SourceSpec] | DataFrame) -> DataFrame:
+    """The registry as a relation; ``source_rank`` keeps the order sources are listed in. One that grows with the data is
+    a table of these columns to begin with."""
+    if isinstance(specs, DataFrame):
+        return specs
     return inline_relation(spark, REGISTRY_COLUMNS, [
         (s.id, rank, s.pref, s.muni, s.route, s.source_name, s.license, s.format, s.path, s.url, s.encoding,
          s.header_row, f"#{s.sheet}" if isinstance(s.sheet, int) else s.sheet,
@@ -56,6 +60,11 @@ def registry_frame(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFram
     ])
 
 
+def registry_side(specs: Sequence[SourceSpec] | DataFrame, registry: DataFrame) -> DataFrame:
+    """What a registry holds, as a side of a join: the caller's own list is sent to every task, a table is shuffled."""
+    return shuffled(registry) if isinstance(specs, DataFrame) else F.broadcast(registry)
+
+
 def path_key(path):
     """A file path without scheme and host, to match listed files to the registry."""
     return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?)?/*", "/")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placemill.operators.registers import normalize_frame
-from placemill.session import scratch_path, stable
+from placemill.session import scratch_path, shuffled, stable
+from placemill.sources.registers import listed_files
 from placemill.sources.registry import SourceSpec
 from placemill_checks import views
 
@@ -23,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
+SPREAD_ROWS = 100_000
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly: the tables are so few files, and so well compressed, that a scan of them is one task or two, which all that
+    is made of their rows would stay in."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // SPREAD_ROWS))
+    return df.repartition(parts)
 
 
 def _derived(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -30,7 +39,7 @@ def _derived(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Da
     to the shared folder once per application, so that queries start from a scan."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        _written[key] = stable(build(), name)
+        _written[key] = stable(_spread(build()), name)
     return _written[key]
 
 
@@ -147,7 +156,7 @@ def located_register(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     spots = areas(spark, sf_dir).select(F.split_part("pref", F.lit(" "), F.lit(2)).cast("bigint").alias("id"), (F.col("mx") + off).alias("lon"),
                                         (F.col("my") + off).alias("lat"))
     names = register(spark, sf_dir, which).select(F.col("row_pos").alias("id"), F.col("facility_name").alias("name"))
-    return names.join(spots, "id")
+    return names.join(shuffled(spots), "id")
 
 
 DELIVERIES = 4
@@ -256,24 +265,38 @@ def register_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files
 
 
-_landed: dict[tuple[str, str], list[SourceSpec]] = {}
+_landed: dict[tuple[str, str], tuple[DataFrame, str]] = {}
+KINDS = ("utf8", "sjis", "sjis_declared", "book")
+
+
+def _land(files: DataFrame, folder: str, end: str) -> None:
+    """One file per row, written by tasks: the text writer puts out bytes as they are, and ``end`` after them."""
+    rows = files.select("source_id", F.col("content").cast("string").alias("value"))
+    rows.write.option("lineSep", end).partitionBy("source_id").text(folder)
 
 
-def landed_registers(spark: SparkSession, sf_dir: str) -> list[SourceSpec]:
-    """The register files below the shared folder, written once per application, and the registry entries that name them. Each file is
-    bounded (FILE_ROWS); they pass one by one through the file system that the folder is on."""
+def landed_registers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The registry of the register files, as a table, and the folder below the shared one that they lie in, written once per application.
+    Each file is bounded (FILE_ROWS), their number grows with the data; neither they nor their entries pass through the driver."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
-        hadoop, folder = spark.sparkContext._jvm.org.apache.hadoop.fs, scratch_path(spark, "landed")
-        system = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        specs = []
-        for f in register_files(spark, sf_dir).orderBy("source_id").toLocalIterator():
-            path = f"{folder}/{f['source_id']}.{'xlsx' if f['format'] == 'excel' else 'csv'}"
-            out = system.create(hadoop.Path(path))
-            out.write(bytes(f["content"]))
-            out.close()
-            specs.append(SourceSpec(
-                f["source_id"], "P1", "M1", "own", f"Register {f['source_id']}", "CC BY 4.0", f["format"], path, encoding=f["encoding"],
-                header_row=f["header_row"], const={"prefecture": "P1", "city": "M1"}, colmap=REGISTER_COLUMNS, address_parts=("addr1", "no_such_part", "addr2")))
-        _landed[key] = specs
+        folder, files = scratch_path(spark, "landed"), register_files(spark, sf_dir)
+        settings = files.drop("content")
+        _land(files.where("format <> 'excel'"), f"{folder}/text", "\r\n")
+        # a workbook ends with the length of its comment, which is 0 in two bytes
+        books = files.where("format = 'excel'").withColumn("content", F.expr("substring(content, 1, octet_length(content) - 2)"))
+        _land(books, f"{folder}/books", "\0\0")
+        paths = listed_files(spark, folder).select("path", F.regexp_extract("path", r"/source_id=([^/]+)/", 1).alias("source_id"))
+        text = lambda value: F.lit(value).cast("string")
+        pairs = lambda m: F.create_map(*[F.lit(x) for pair in m.items() for x in pair])
+        kind, number = F.substring_index("source_id", "-", 1), F.substring_index("source_id", "-", -1).cast("bigint")
+        columns = {
+            "source_id": F.col("source_id"), "source_rank": number * len(KINDS) + F.array_position(F.array(*map(F.lit, KINDS)), kind) - 1,
+            "pref": text("P1"), "muni": text("M1"), "route": text("own"), "source_name": F.concat(F.lit("Register "), "source_id"),
+            "license": text("CC BY 4.0"), "format": F.col("format"), "path": F.col("path"), "url": text(""), "encoding": F.col("encoding"),
+            "header_row": F.col("header_row").cast("bigint"), "sheet": F.col("sheet"), "const": pairs({"prefecture": "P1", "city": "M1"}),
+            "colmap": pairs(REGISTER_COLUMNS), "address_parts": F.array(F.lit("addr1"), F.lit("no_such_part"), F.lit("addr2")),
+        }
+        entries = paths.join(shuffled(settings), "source_id", "right").select(*[c.alias(name) for name, c in columns.items()])
+        _landed[key] = (stable(entries, "registry"), folder)
     return _landed[key]

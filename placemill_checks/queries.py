@@ -374,14 +374,14 @@ def mapping_proposals(spark, d):
 
 @query
 def registry_missing(spark, d):
-    specs = frames.landed_registers(spark, d)
-    return registers.missing_columns(scan_registers(spark, specs), specs)
+    registry, folder = frames.landed_registers(spark, d)
+    return registers.missing_columns(scan_registers(spark, registry, folder), registry)
 
 
 @query
 def registry_scan(spark, d):
     """Files of four kinds found by path, decoded and harmonised by the registry relation: all columns, source and row order."""
-    return harmonised_rows(spark, frames.landed_registers(spark, d)).drop("source_rank")
+    return harmonised_rows(spark, *frames.landed_registers(spark, d)).drop("source_rank")
 
 
 @query

@@ -265,3 +265,31 @@ def test_short_long_and_repeated_columns(spark, tmp_path):
     empty = tmp_path / "empty.csv"
     empty.write_bytes(b"\r\n\r\nname\r\n")
     assert scan_registers(spark, [spec("empty", empty)]).count() == 0
+
+
+def test_registry_as_a_table(spark, files, tmp_path):
+    """The same records, rows and missing columns as by the list, with nothing of the registry broadcast."""
+    from placemill.sources.registry import registry_frame
+    from tests.conftest import plan_of
+
+    table = registry_frame(spark, files)
+    table.write.parquet(str(tmp_path / "registry"))
+    table, folder = spark.read.parquet(str(tmp_path / "registry")), files[0].path.rsplit("/", 1)[0]
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    records = scan_registers(spark, table, folder)
+    assert same(records, scan_registers(spark, files))
+    assert same(R.normalize_records(records, table), R.normalize_records(records, files))
+    assert same(R.missing_columns(records, table), R.missing_columns(records, files))
+    assert "Broadcast" not in plan_of(R.normalize_records(records, table)) and "Broadcast" not in plan_of(R.missing_columns(records, table))
+
+
+def test_landed_files_are_the_given_bytes(spark, tmp_path):
+    from placemill_checks import frames
+
+    rows = {"a-0": b"\xef\xbb\xbfx,y\r\n1,2", "a-1": "名,住".encode("cp932"), "b-0": frames.workbook([["x"], ["1"]])}
+    for source, content in rows.items():
+        end = "\0\0" if source == "b-0" else "\r\n"
+        frame = spark.createDataFrame([(source, bytearray(content[:-2] if source == "b-0" else content))], "source_id string, content binary")
+        frames._land(frame, str(tmp_path / source), end)
+        (found,) = (tmp_path / source).glob(f"source_id={source}/*.txt")
+        assert found.read_bytes() == content + (b"" if source == "b-0" else b"\r\n")
