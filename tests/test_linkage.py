@@ -73,3 +73,20 @@ def test_crowded_cell_meets_by_grams_only(spark, no_broadcast):
 def test_no_rows(spark):
     none, one = spark.createDataFrame([], SCHEMA), spark.createDataFrame([(1, "a", 1.0, 1.0)], SCHEMA)
     assert linkage.fuzzy_link(none, one, 10.0, 1).count() == 0 and linkage.fuzzy_link(one, none, 10.0, 1).count() == 0
+
+
+def test_best_link_of_records_that_share_an_id_or_have_none(spark):
+    left = spark.createDataFrame([(1, "abcdef", 135.0, 35.0), (1, "abcdeg", 135.0, 35.0), (None, "abcdef", 135.0, 35.0), (2, "qwertz", 135.0, 35.0)], SCHEMA)
+    right = spark.createDataFrame([(7, "abcdeg", 135.001, 35.0), (8, "abcdef", 135.002, 35.0), (9, "qwertx", 135.0, 35.005), (6, "qwertx", 135.0, 35.005)], SCHEMA)
+    got = {r[0]: tuple(r)[1:3] for r in linkage.fuzzy_link(left, right, 900.0, 2).collect()}
+    assert got == {1: (7, 0), None: (8, 0), 2: (6, 1)}
+
+
+def test_linked_records_do_not_meet_again(spark, monkeypatch):
+    """Records with a link of equal name are out of the steps that meet by grams."""
+    sizes, pairs = [], linkage._pairs
+    monkeypatch.setattr(linkage, "_pairs", lambda a, *rest: (sizes.append(a.count()), pairs(a, *rest))[1])
+    rows = [(i, f"shop {i:04d}", 135.0, 35.0) for i in range(100)]
+    right = [(i, n + (" #" if i % 10 == 0 else ""), x, y) for i, n, x, y in rows]
+    got = linkage.fuzzy_link(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(right, SCHEMA), 100.0, 2).collect()
+    assert len(got) == 100 and sizes == [100, 10]
