@@ -43,6 +43,25 @@ class Substrings:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
+def grams(data: np.ndarray, size: int) -> np.ndarray:
+    """The hashes of all substrings of a size, as ``Substrings`` gives them: for blocks that fit the CPU's cache."""
+    n = len(data) - size + 1
+    terms = data.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= powers(_BASE, len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(terms, out=sums[1:])
+    h = np.subtract(sums[size:], sums[:n], out=terms[:n])
+    h *= powers(_INVERSE, n)
+    h += np.uint64(size)
+    shifted = np.empty(n, np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h ^= np.right_shift(h, np.uint64(shift), out=shifted)
+        h *= np.uint64(factor)
+    h ^= np.right_shift(h, np.uint64(31), out=shifted)
+    return h
+
+
 def word_shingles(text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of the runs of ``size`` words of an already normalised text (words parted by one space), and how
     often each occurs. A text of fewer words is one shingle; a text without words has none."""

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from placemill.llm import repeats
 from tests.llm.helpers import awkward, prose, table
@@ -64,3 +65,12 @@ def test_packs_and_ranges_do_not_matter(spark, monkeypatch, pack_bytes, range_by
     passage = prose(30, 8)
     rows = [(i, f"{prose(10, i)} {passage} {prose(5, i % 7)}", "", "") for i in range(60)]
     check(spark, rows)
+
+
+def test_a_pack_gets_its_own_answers_only(spark):
+    long_texts = spark.range(12).coalesce(1).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 1 << 15).alias("text"))
+    packs = repeats.packed(long_texts)
+    assert packs.count() > 1
+    answers = repeats._answered(repeats._messages(packs, 1, 4), 1).cache()
+    assert repeats._with_answers(packs, [answers]).select(F.sum(F.size("answers"))).first()[0] == answers.count()
+    answers.unpersist()
